@@ -48,6 +48,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sampled(rows: DataFrame, n: int) -> DataFrame:
+    """The rows of about n documents (at most n ids), the same ones each time; only ids are sorted, and only n of them are broadcast."""
+    ids = rows.select("doc_id").dropna().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).distinct()
+    return rows.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

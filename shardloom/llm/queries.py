@@ -32,8 +32,20 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(pieces)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest, found_in
+
+    return digest(found_in(table(spark, sf_dir, "documents")))
+
+
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import digest, scanned
+
+    return digest(scanned(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op9_pii, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
