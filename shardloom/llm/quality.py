@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, WORD, id_text, lower_az
+from .common import LOWER_AZ, WORD, id_text, lower_az, sampled
 
 SYMBOLS = b"#*$%&|<>"
 #: Bounds of what is fitted: labelled rows read, and texts timed by the driver.
@@ -138,7 +138,7 @@ def judged(docs: DataFrame, labels: DataFrame | None = None, rules: list[Rule] |
     """
     rows = id_text(docs)
     rules = rules or default_rules(toxic_lexicon(docs, labels) if labels is not None else frozenset())
-    sample = [r.text for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TIMING_SAMPLE).select(F.col("text")).collect()]
+    sample = [r.text for r in sampled(rows, TIMING_SAMPLE).limit(TIMING_SAMPLE).collect()]
     order = cascade_order(rules, sample)
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
