@@ -54,6 +54,19 @@ def sampled(rows: DataFrame, n: int) -> DataFrame:
     return rows.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
+#: Values of a narrow table that may be broadcast (16 MB at 16 bytes each); more are joined by a shuffle.
+BROADCAST_VALUES = 1_000_000
+
+
+def small(df: DataFrame, values=None) -> DataFrame:
+    """df with a broadcast hint if it holds at most BROADCAST_VALUES values (rows, or the sum of column ``values``).
+
+    df should be cheap to count, such as a written table.
+    """
+    n = df.agg(F.coalesce(F.sum(values), F.lit(0)) if values is not None else F.count("*")).first()[0]
+    return F.broadcast(df) if n <= BROADCAST_VALUES else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
