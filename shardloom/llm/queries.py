@@ -38,6 +38,12 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extracted
+
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import digest
 
@@ -57,7 +63,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op5_ngram_jaccard_join, op7_substring_dedup, op9_pii, op10_secret_scans)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op5_ngram_jaccard_join, op6_html_extraction, op7_substring_dedup, op9_pii, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
