@@ -32,6 +32,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(pieces)
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import matched
+
+    return matched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import linked
 
@@ -50,6 +56,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import without_boilerplate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_boilerplate(docs)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import digest, found_in
 
@@ -63,7 +76,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op5_ngram_jaccard_join, op6_html_extraction, op7_substring_dedup, op9_pii, op10_secret_scans)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_html_extraction, op7_substring_dedup, op8_line_dedup, op9_pii, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
