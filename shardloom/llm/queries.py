@@ -12,10 +12,11 @@ from .common import table, written
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path() -> str:
+def tokenizer() -> tuple[str, str]:
+    """The vocabulary file and its splitting pattern."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import packed, tokenised
 
-    pieces = tokenised(table(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = tokenised(table(spark, sf_dir, "documents"), *tokenizer())
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packed(pieces)
 
