@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,12 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import scored
+
+    return scored(table(spark, sf_dir, "documents"), *tokenizer())
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judged
 
@@ -77,7 +83,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_best_fit_packing, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_html_extraction, op7_substring_dedup, op8_line_dedup, op9_pii, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_lm_scoring, op2_quality_rules, op3_best_fit_packing, op4_benchmark_decontamination, op5_ngram_jaccard_join, op6_html_extraction, op7_substring_dedup, op8_line_dedup, op9_pii, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
