@@ -8,7 +8,10 @@ such links.
 2. Prefix filter: of each set in hash order a prefix is listed that is long
    enough for a linked pair to share ``slack`` times its size in tokens.
    Documents that share fewer with all others are done: they have no link.
-3. The others fall into blocks, the components of "shares a prefix token".
+3. The others fall into blocks, the components of "shares a prefix token".  As a
+   linked pair shares ``slack`` tokens, each of the two can do without somewhat
+   less than half as many: its most frequent ones, so that passages which many
+   documents have do not draw unrelated ones into one block.
 4. In a block, each document asks the inverted lists for all earlier ones that
    reach the overlap T its size demands: short lists are merged and counted,
    what reaches T less the number of long lists is probed in those by binary
@@ -29,14 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, small, written
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
-SLACK = 3  # hundredths of a set that a linked pair shares within the prefixes at least
+SLACK = 10  # hundredths of a set that a linked pair shares within the prefixes at least
 BLOCK_TOKENS = 4_000_000
 
 
@@ -158,13 +161,15 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
     firsts = level.where("n > 0").select("row", "n", "prefix").join(small(written(more, "copies")), "row", "left_anti")
 
     tokens = firsts.select("row", F.explode("prefix").alias("token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
+    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = written(tokens.join(often, "token"), "shared")
     least = F.ceil(F.col("n") * percent / 100)
     enough = F.greatest(F.lit(1), F.floor(least * SLACK / 100))
     active = shared.groupBy("row").agg(F.count("*").alias("shared")).join(level.select("row", "n"), "row").where(F.col("shared") >= enough)
     active = written(active.select("row", "n"), "active")
-    held = written(shared.join(small(active.select("row")), "row", "left_semi"), "held")
+    held = shared.join(small(active.withColumn("spare", F.floor((enough - 1) / 2)).select("row", "spare")), "row")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("df"), "token"))  # within a document
+    held = written(held.withColumn("rank", rank).where("rank > spare").select("row", "token"), "held")
     pivot = held.groupBy("token").agg(F.min("row").alias("b"), F.count("*").alias("df")).where("df > 1").select("token", "b")
     edges = held.join(pivot, "token").select(F.col("row").alias("a"), "b").distinct()
     blocks = written(active.join(components(edges), F.col("row") == F.col("node")).select("row", "n", F.col("root").alias("block")), "blocks")
