@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import discard, in_order, shared_dir, shuffle_partitions, small, table, written, written_at  # noqa: F401
+
 #: Java spelling of the contract's word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -17,10 +16,6 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def id_text(docs: DataFrame) -> DataFrame:
     """doc_id and text only, a null text as the empty one; other columns cannot clash afterwards."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -31,46 +26,12 @@ def lower_az(col):
     return F.translate(col, UPPER, LOWER)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='shardloom-')}"
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet to the shared folder and read it back, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/shardloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def sampled(rows: DataFrame, n: int) -> DataFrame:
     """The rows of about n documents (at most n ids), the same ones each time; only ids are sorted, and only n of them are broadcast."""
     ids = rows.select("doc_id").dropna().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).distinct()
     return rows.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
-#: Values of a narrow table that may be broadcast (16 MB at 16 bytes each); more are joined by a shuffle.
-BROADCAST_VALUES = 1_000_000
-
-
-def small(df: DataFrame, values=None) -> DataFrame:
-    """df with a broadcast hint if it holds at most BROADCAST_VALUES values (rows, or the sum of column ``values``).
-
-    df should be cheap to count, such as a written table.
-    """
-    n = df.agg(F.coalesce(F.sum(values), F.lit(0)) if values is not None else F.count("*")).first()[0]
-    return F.broadcast(df) if n <= BROADCAST_VALUES else df
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; bytes.split() cuts at exactly \\x20 and \\x09-\\x0D."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes
+from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, small, written
 
 #: Words of items in one block, lengths of seeds, and the expected count below which an n-gram is rare.
 BLOCK_WORDS = 400_000
@@ -150,6 +150,12 @@ def matched(docs: DataFrame, items: DataFrame, least: float = LEAST, block_words
     return found
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
+    """The rows of docs, all columns, that hold no copy of an item."""
+    leaks = written(matched(docs, items, least).select(F.col("row").alias("__row")).distinct(), "leaks")
+    return docs.withColumn("__row", F.monotonically_increasing_id()).join(small(leaks), "__row", "left_anti").drop("__row")
+
+
 def _matched_block(rows: DataFrame, shared, least: float, schema: str) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, items, tables = shared.value

@@ -150,7 +150,10 @@ def divide_skip(sets: list[np.ndarray], percent: int, side: np.ndarray | None =
 
 
 def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) for every row of docs."""
+    """row, doc_id, n_shingles, component_id (smallest doc_id reachable by links) and component_row (its row) for every row of docs.
+
+    Rows are numbered by monotonically_increasing_id().
+    """
     rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
     level = written(_profiles(rows, n, percent), "profiles")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
@@ -199,8 +202,14 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
 
     links = written(dealt.groupBy("block", "i", "j").applyInPandas(search, "a long, b long"), "links")
     joined = components(links).join(classes.select(F.col("first_row").alias("node"), "first_id"), "node")
-    least_id = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = written(joined.join(least_id, "root").select(F.col("node").alias("first_row"), "component_id"), "components")
-    named = classes.join(small(of), "first_row", "left").select("d1", "d2", F.coalesce("component_id", "first_id").alias("component_id"))
-    every = level.select("doc_id", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
-    return every.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = joined.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("doc_id"), F.col("node").alias("row"))).alias("least"))
+    of = written(joined.join(least, "root").select(F.col("node").alias("first_row"), F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("component_row")), "components")
+    named = classes.join(small(of), "first_row", "left").select("d1", "d2", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component_row", "first_row").alias("component_row"))
+    every = level.select("row", "doc_id", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
+    return every.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("component_row", "row").alias("component_row"))
+
+
+def one_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, all columns, that come first in their component (smallest doc_id)."""
+    stays = written(linked(docs, n, percent).where("row = component_row").select(F.col("row").alias("__row")), "stays")
+    return docs.withColumn("__row", F.monotonically_increasing_id()).join(small(stays), "__row", "left_semi").drop("__row")

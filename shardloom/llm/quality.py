@@ -19,6 +19,7 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,4 +157,19 @@ def judged(docs: DataFrame, labels: DataFrame | None = None, rules: list[Rule] |
     return rows.mapInPandas(judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
 
 
+def kept_rows(docs: DataFrame, labels: DataFrame | None = None, rules: list[Rule] | None = None) -> DataFrame:
+    """The rows of docs, all columns, that neither the base nor the cascade rejects."""
+    rows = id_text(docs)
+    rules = rules or default_rules(toxic_lexicon(docs, labels) if labels is not None else frozenset())
+    order = cascade_order(rules, [r.text for r in sampled(rows, TIMING_SAMPLE).limit(TIMING_SAMPLE).collect()])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = map(Text, batch.column("text").to_pylist())
+            stays = [len(t.words) >= 50 and 100 * t.n_repeat_words <= 50 * len(t.words) and not any(r.fails(t) for r in order) for t in texts]
+            yield batch.filter(pa.array(stays, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]

@@ -48,7 +48,7 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import linked
 
-    return linked(table(spark, sf_dir, "documents"))
+    return linked(table(spark, sf_dir, "documents")).drop("row", "component_row")
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
