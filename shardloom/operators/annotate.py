@@ -27,8 +27,13 @@ def voc_box(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, heigh
     return {"cx": (x0 + x1) / 2.0 / width, "cy": (y0 + y1) / 2.0 / height, "w": (x1 - x0) / width, "h": (y1 - y0) / height}
 
 
+def fixed6(x: Column) -> Column:
+    """x at six decimals, by arithmetic that any engine repeats to the bit (formats and rounding functions differ on ties)."""
+    return F.floor(x * 1000000.0 + 0.5) / 1000000.0
+
+
 def yolo_line(class_id: Column, cx: Column, cy: Column, w: Column, h: Column) -> Column:
-    return F.format_string("%d %.6f %.6f %.6f %.6f", class_id.cast("int"), cx, cy, w, h)
+    return F.format_string("%d %.6f %.6f %.6f %.6f", class_id.cast("int"), *map(fixed6, (cx, cy, w, h)))
 
 
 def yolo_parse(lines: DataFrame, line: str = "value") -> DataFrame:
