@@ -1,4 +1,4 @@
 """Kernel queries over the test tables, each with the SQL it is held against."""
 
-from . import annotations, images, planning, relational  # noqa: F401
+from . import annotations, flagship, images, planning, relational  # noqa: F401
 from .base import QUERIES, SQL  # noqa: F401
