@@ -62,23 +62,23 @@ def ngram_hashes(word_hashes: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+class _Hashes(dict):
+    """Hashes of words seen so far; a new one is hashed when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class WordHasher:
     """Stable 64-bit word hashes, remembered up to a bound."""
 
     def __init__(self, bound: int = 500_000):
-        self.known: dict[bytes, int] = {}
-        self.bound = bound
+        self.known, self.bound = _Hashes(), bound
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
-
         if len(self.known) > self.bound:
-            self.known = {}
-        known, h = self.known, xxhash.xxh3_64_intdigest
-        out = np.empty(len(words), np.uint64)
-        for i, w in enumerate(words):
-            v = known.get(w)
-            if v is None:
-                v = known[w] = h(w)
-            out[i] = v
-        return out
+            self.known = _Hashes()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))

@@ -54,6 +54,9 @@ class Encoder:
         special = {t["content"]: t["id"] for t in held["added_tokens"]}
         letters = byte_letters()
         ranks = {bytes(letters[c] for c in token): rank for token, rank in held["model"]["vocab"].items() if token not in special}
+        #: For each id, whether it spells a leading space.
+        self.spaced = np.zeros(max(held["model"]["vocab"].values()) + 1, bool)
+        self.spaced[[rank for token, rank in ranks.items() if token.startswith(b" ")]] = True
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
     def __call__(self, text: str) -> bytes:
