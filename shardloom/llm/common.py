@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import discard, in_order, shared_dir, shuffle_partitions, small, table, written, written_at  # noqa: F401
@@ -16,8 +18,45 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+#: Rows that one Arrow batch takes to a Python worker; texts are long, and the session's default of 10,000 fills its memory.
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lower the session's Arrow batch size to ``rows``; a lower one stays."""
+    now = int(spark.conf.get(_BATCH_CONF))
+    if now <= 0 or now > rows:
+        spark.conf.set(_BATCH_CONF, str(rows))
+
+
+def release_memory() -> None:
+    """Give back to the system what a worker process, which lives on after its task, no longer uses."""
+    import ctypes
+
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(scan):
+    """scan, a generator over batches, that releases its worker's memory at the end."""
+
+    def run(batches):
+        yield from scan(batches)
+        release_memory()
+
+    return run
+
+
 def id_text(docs: DataFrame) -> DataFrame:
-    """doc_id and text only, a null text as the empty one; other columns cannot clash afterwards."""
+    """doc_id and text only, a null text as the empty one; other columns cannot clash afterwards.
+
+    Batches to Python workers become small from here on.
+    """
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
@@ -75,7 +114,7 @@ class _Hashes(dict):
 class WordHasher:
     """Stable 64-bit word hashes, remembered up to a bound."""
 
-    def __init__(self, bound: int = 500_000):
+    def __init__(self, bound: int = 150_000):
         self.known, self.bound = _Hashes(), bound
 
     def __call__(self, words: list[bytes]) -> np.ndarray:

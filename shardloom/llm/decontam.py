@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, small, written
+from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, small, tidy, written
 
 #: Words of items in one block, lengths of seeds, and the expected count below which an n-gram is rare.
 BLOCK_WORDS = 400_000
@@ -99,7 +99,7 @@ def _word_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
         k = np.flatnonzero(total)
         yield pd.DataFrame({"word": np.append(k, -1), "n": np.append(total[k], n)})
 
-    found = docs.select("text").mapInPandas(scan, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select("text").mapInPandas(tidy(scan), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(len(vocabulary), np.int64)
     words = found[found.word >= 0]
     counts[words.word.to_numpy(np.int64)] = words.n.to_numpy(np.int64)
@@ -193,4 +193,4 @@ def _matched_block(rows: DataFrame, shared, least: float, schema: str) -> DataFr
             frame["item_id"] = frame["item_id"].astype("Int64")
             yield frame
 
-    return rows.mapInPandas(scan, schema)
+    return rows.mapInPandas(tidy(scan), schema)

@@ -35,12 +35,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, small, written
+from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, release_memory, small, tidy, written
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
 SLACK = 10  # hundredths of a set that a linked pair shares within the prefixes at least
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000
 
 
 def shingles(hasher: WordHasher, text: str, n: int) -> np.ndarray:
@@ -77,7 +77,7 @@ def _profiles(rows: DataFrame, n: int, percent: int) -> DataFrame:
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    return rows.mapInPandas(scan, "row long, doc_id long, n long, d1 long, d2 long, prefix array<long>")
+    return rows.mapInPandas(tidy(scan), "row long, doc_id long, n long, d1 long, d2 long, prefix array<long>")
 
 
 class Connected:
@@ -188,7 +188,7 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
             yield batch.drop(columns=["text"]).assign(shingles=[shingles(hasher, t, n).astype(np.int64) for t in batch["text"]])
 
     wanted = rows.select("row", "text").join(small(plan), "row")
-    full = wanted.select("row", "text", "block", "chunks", "chunk").mapInPandas(sets, "row long, block long, chunks int, chunk int, shingles array<long>")
+    full = wanted.select("row", "text", "block", "chunks", "chunk").mapInPandas(tidy(sets), "row long, block long, chunks int, chunk int, shingles array<long>")
     pair = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(j, F.col("chunk")).alias("i"), F.greatest(j, F.col("chunk")).alias("j")))
     dealt = full.withColumn("pair", F.explode(pair)).select("row", "block", "chunk", "pair.i", "pair.j", "shingles")
 
@@ -198,6 +198,8 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
         side = frame["chunk"].to_numpy() if frame["i"].iloc[0] != frame["j"].iloc[0] else None
         row = frame["row"].to_numpy()
         links = divide_skip(held, percent, side)
+        del held
+        release_memory()
         return pd.DataFrame({"a": [row[x] for x, _ in links], "b": [row[y] for _, y in links]}, columns=["a", "b"])
 
     links = written(dealt.groupBy("block", "i", "j").applyInPandas(search, "a long, b long"), "links")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, shuffle_partitions, written
+from .common import id_text, shuffle_partitions, tidy, written
 
 CAPACITY = 2048
 
@@ -87,7 +87,7 @@ def tokenised(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = CAP
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    return id_text(docs).mapInPandas(encode, "doc_id long, piece int, start long, length long, ids binary")
+    return id_text(docs).mapInPandas(tidy(encode), "doc_id long, piece int, start long, length long, ids binary")
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -216,7 +216,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranked.drop("__bucket", "__before", "__within")
     kept = [f for f in ranked.schema if f.name != "__rank"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, `offset` long"
-    return ranked.mapInPandas(place, schema)
+    return ranked.mapInPandas(tidy(place), schema)
 
 
 def crc32_of(ids: bytes) -> int:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, WORD, id_text, lower_az, sampled
+from .common import LOWER_AZ, WORD, id_text, lower_az, sampled, tidy
 
 SYMBOLS = b"#*$%&|<>"
 #: Bounds of what is fitted: labelled rows read, and texts timed by the driver.
@@ -154,7 +154,7 @@ def judged(docs: DataFrame, labels: DataFrame | None = None, rules: list[Rule] |
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    return rows.mapInPandas(judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
+    return rows.mapInPandas(tidy(judge), "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame | None = None, rules: list[Rule] | None = None) -> DataFrame:
@@ -169,7 +169,7 @@ def kept_rows(docs: DataFrame, labels: DataFrame | None = None, rules: list[Rule
             stays = [len(t.words) >= 50 and 100 * t.n_repeat_words <= 50 * len(t.words) and not any(r.fails(t) for r in order) for t in texts]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)
 
 
 NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHasher, discard, id_text, in_order, mix64, ngram_hashes, small, words_of, written, written_at
+from .common import WORD, WordHasher, discard, id_text, in_order, mix64, ngram_hashes, small, tidy, words_of, written, written_at
 
 WIDTH = 20
 DOUBLINGS = 1
@@ -78,7 +78,7 @@ def _first_level(rows: DataFrame, width: int, base: int) -> DataFrame:
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    return rows.mapInPandas(scan, "row long, doc_id long, n_words long, copy boolean, sha string, hashes array<long>, places array<int>")
+    return rows.mapInPandas(tidy(scan), "row long, doc_id long, n_words long, copy boolean, sha string, hashes array<long>, places array<int>")
 
 
 def _live(held: DataFrame, windows: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def removable(docs: DataFrame, width: int = WIDTH, doublings: int = DOUBLINGS) -
                     out.append((row, ngram_hashes(words, 2 * length)[at].astype(np.int64), at.astype(np.int32)))
                 yield pd.DataFrame(out, columns=["row", "hashes", "places"])
 
-        level = written(texts.mapInPandas(spread, "row long, hashes array<long>, places array<int>"), "level")
+        level = written(texts.mapInPandas(tidy(spread), "row long, hashes array<long>, places array<int>"), "level")
         windows = level.select("row", F.explode(F.arrays_zip("hashes", "places")).alias("w")).select("row", F.col("w.hashes").alias("h"), F.col("w.places").alias("place"))
         live = written(_live(level.select("row", "places"), windows), "live")
         length *= 2
@@ -155,7 +155,7 @@ def removable(docs: DataFrame, width: int = WIDTH, doublings: int = DOUBLINGS) -
     numbers = in_order(every.join(live.select("row"), "row", "left_semi").select("row", "doc_id", F.col("doc_id").isNull().alias("no_id")), "no_id", "doc_id", "row")
     numbers = written(numbers.select("row", F.col("place").alias("number")), "numbers")
     texts = _with_text(rows, live.join(small(numbers), "row"))
-    windows = texts.select("row", "number", "text", "places").mapInPandas(hashed(length), schema)
+    windows = texts.select("row", "number", "text", "places").mapInPandas(tidy(hashed(length)), schema)
     firsts = windows.groupBy("h", "g").agg(F.min_by("row", "number").alias("row"), F.min_by("place", "number").alias("place"))
     firsts = firsts.groupBy("row").agg(F.collect_list("place").alias("firsts"))
 
@@ -174,7 +174,7 @@ def removable(docs: DataFrame, width: int = WIDTH, doublings: int = DOUBLINGS) -
                 out.append((row, int(gone.sum()), b" ".join(w for w, g in zip(words, gone) if not g).decode("utf-8", "surrogatepass")))
             yield pd.DataFrame(out, columns=["row", "n_removed", "kept"])
 
-    changed = texts.join(firsts, "row", "left").select("row", "text", "places", "firsts").mapInPandas(cut, "row long, n_removed long, kept string")
+    changed = texts.join(firsts, "row", "left").select("row", "text", "places", "firsts").mapInPandas(tidy(cut), "row long, n_removed long, kept string")
     return every, changed
 
 
