@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import small, small_batches, tidy, written
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>""", re.S)
 NAME = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -121,6 +121,7 @@ class Page:
 
 
 def _hosted(pages: DataFrame) -> DataFrame:
+    small_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
 
@@ -138,13 +139,13 @@ def templates(pages: DataFrame) -> DataFrame:
                 out += [(row, host, token, n, weights[token]) for token, n in page.tokens.items()]
             yield pd.DataFrame(out, columns=["row", "host", "token", "n", "chars"])
 
-    seen = _hosted(pages).withColumn("row", F.monotonically_increasing_id()).mapInPandas(scan, "row long, host string, token string, n int, chars long")
+    seen = _hosted(pages).withColumn("row", F.monotonically_increasing_id()).mapInPandas(tidy(scan), "row long, host string, token string, n int, chars long")
     vectors = seen.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("row", "n")).alias("class"), F.max("n").alias("most"), F.count("*").alias("pages"), F.sum("chars").alias("chars"))
     vectors = written(vectors, "vectors")
     whole = vectors.where("token = ''").select("host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"))
     sizes = vectors.where("token <> ''").groupBy("host", "class").agg(F.count("*").alias("class_size"))
     valid = vectors.where("token <> '' and most = 1").join(sizes.where("class_size > 1"), ["host", "class"]).join(whole, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
-    path = F.ltrim(F.lit("/"), F.col("token"))
+    path = F.ltrim("token", F.lit("/"))
     return valid.select("host", "token", path.alias("path"), "class", "class_size", "pages", "chars", "host_chars", F.regexp_replace(path, "(^|>)[^>]*$", "").alias("parent"))
 
 
@@ -166,4 +167,4 @@ def extracted(pages: DataFrame) -> DataFrame:
             frame = pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts})
             yield frame.assign(n_chars=frame["text"].str.len().astype("int64"))
 
-    return held.select("page_id", "url", "html", "slot").mapInPandas(cut, "page_id long, url string, text string, n_chars long")
+    return held.select("page_id", "url", "html", "slot").mapInPandas(tidy(cut), "page_id long, url string, text string, n_chars long")
