@@ -68,7 +68,7 @@ def without_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = L
     """docs with the remaining lines as text, and columns n_lines and n_dropped after its own."""
     gone = dropped_lines(docs, min_docs, lead, constant).groupBy("row").agg(F.collect_set("place").alias("__gone"))
     gone = written(gone, "gone").withColumnRenamed("row", "__row")
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     held = docs.withColumn("__row", F.monotonically_increasing_id()).join(small(gone, F.size("__gone")), "__row", "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     left = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.array_contains("__gone", i))))

@@ -36,7 +36,7 @@ ORDINARY_TEXTS = 4_000
 #: Pseudo-counts of a pair: the uniform prior of random strings weighs more than that of ordinary text.
 RANDOM_PRIOR, ORDINARY_PRIOR = 20.0, 0.5
 #: Natural-log ratio a pair at least.
-THRESHOLD = 0.8
+THRESHOLD = 0.4
 SIZE = len(ALPHABET)
 _CLASS = [ALPHABET.find(chr(c)) for c in range(128)]
 
