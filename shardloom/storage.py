@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -35,13 +37,28 @@ def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/shardloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not _WRITTEN:
+        atexit.register(clear)
+    _WRITTEN[path] = spark
     return spark.read.schema(df.schema).parquet(path), path
 
 
+#: Written tables that are still there. Lazy results read them, so they go when the process ends, or with clear().
+_WRITTEN: dict[str, SparkSession] = {}
+
+
+def clear() -> None:
+    """Remove all tables that this process has written and not discarded."""
+    with contextlib.suppress(Exception):  # the session may be gone
+        for path, spark in list(_WRITTEN.items()):
+            discard(spark, path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a written table that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _WRITTEN.pop(path, None)
 
 
 def small(df: DataFrame, values: Column | None = None) -> DataFrame:

@@ -200,3 +200,14 @@ def test_box_statistics_by_hand(spark):
     df = spark.createDataFrame([(0.01, 0.01), (0.05, 0.1), (0.5, 0.5)], "w double, h double")
     s = statistics.box_statistics(df, F.col("w"), F.col("h")).first()
     assert (s.small, s.medium, s.large, s.w_mean, s.h_min) == (1, 1, 1, 0.1867, 0.01)
+
+
+def test_written_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from shardloom import storage
+
+    df, path = storage.written_at(spark.range(5), "kept")
+    assert df.count() == 5 and Path(path.removeprefix("file://")).exists()
+    storage.clear()
+    assert not Path(path.removeprefix("file://")).exists()
