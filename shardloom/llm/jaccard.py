@@ -157,10 +157,10 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
     rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
     level = written(_profiles(rows, n, percent), "profiles")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    classes = level.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("copies"))
-    classes = written(classes.select("d1", "d2", "copies", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_id")), "classes")
+    classes = level.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("first"))
+    classes = written(classes.select("d1", "d2", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_id")), "classes")
     # Rows that aren't the first of their class; few of many, so that this join can be small.
-    more = level.select("row", "d1", "d2").join(classes.where("copies > 1"), ["d1", "d2"]).where("row <> first_row").select("row")
+    more = level.where("n > 0").select("row").join(classes.select(F.col("first_row").alias("row")), "row", "left_anti")
     firsts = level.where("n > 0").select("row", "n", "prefix").join(small(written(more, "copies")), "row", "left_anti")
 
     tokens = firsts.select("row", F.explode("prefix").alias("token"))

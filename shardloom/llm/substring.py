@@ -103,8 +103,8 @@ def removable(docs: DataFrame, width: int = WIDTH, doublings: int = DOUBLINGS) -
     rows = numbered(docs)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     digests = rows.select("row", "doc_id", F.md5("text").alias("digest"))
-    first = digests.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-    copies = written(digests.join(first, "digest").where("row <> first.row").select("row", F.lit(True).alias("copy")), "copies")
+    first = digests.groupBy("digest").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
+    copies = written(digests.select("row").join(first, "row", "left_anti").withColumn("copy", F.lit(True)), "copies")  # by row: no group of copies meets
     level, path = written_at(_first_level(rows.join(small(copies), "row", "left").withColumn("copy", F.coalesce("copy", F.lit(False))), width, length), "level")
     every = written(level.drop("hashes", "places"), "documents")
     windows = level.select("row", F.explode(F.arrays_zip("hashes", "places")).alias("w")).select("row", F.col("w.hashes").alias("h"), F.col("w.places").alias("place"))
