@@ -14,7 +14,6 @@ repeated rows are packed one by one; an empty table gives no sequence.
 
 from __future__ import annotations
 
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -217,7 +216,3 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     kept = [f for f in ranked.schema if f.name != "__rank"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, `offset` long"
     return ranked.mapInPandas(tidy(place), schema)
-
-
-def crc32_of(ids: bytes) -> int:
-    return zlib.crc32(ids)
