@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import in_order, table
@@ -81,7 +81,3 @@ def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 HASH = f"hashes AS (SELECT vec_id, {dhash_bits(lambda i: f'embedding[{i + 1}]')} AS h FROM embeddings)"
-
-
-def count_sum(column: str) -> Column:
-    return F.sum(F.col(column).cast("long"))
