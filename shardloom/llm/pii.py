@@ -27,9 +27,9 @@ CARD = r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-#: A token that may identify someone: it holds an @ or a digit, and no white space.
-TOKEN = r"(?:\G|(?<![^\x20\x09-\x0D]))(?=[^\x20\x09-\x0D0-9@]*+[0-9@])[^\x20\x09-\x0D]++"
 MIN_DIGITS = 6
+#: A token that may identify someone: it holds an @ or enough digits, and no white space.
+TOKEN = r"(?:\G|(?<![^\x20\x09-\x0D]))(?=[^\x20\x09-\x0D@]*+@|(?:[^\x20\x09-\x0D0-9]*+[0-9]){%d})[^\x20\x09-\x0D]++" % MIN_DIGITS
 #: Rounds over the graph, seeds a pattern needs, and the score from which a mention is added.
 ROUNDS, SUPPORT, THRESHOLD = 3, 3, 0.8
 #: Characters on each side of a mention that can belong to its lexical patterns.
