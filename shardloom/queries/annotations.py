@@ -111,11 +111,11 @@ def k_augment_plan(spark, sf_dir):
 
 
 @kernel(f"""WITH {PLAN}, {COCO}, u AS (SELECT item, unnest([s0, s1]) AS pos, unnest([0, 1]) AS slot FROM r WHERE method = 'mixup')
-SELECT item, slot, ord, class_id, round_even(cx, 6) AS cx, round_even(cy, 6) AS cy, round_even(yolo.w, 6) AS w, round_even(yolo.h, 6) AS h FROM u JOIN img ON img.pos = u.pos JOIN yolo ON yolo.image_id = img.image_id""")
+SELECT item, slot, ord, class_id, {FIX.format('cx')} AS cx, {FIX.format('cy')} AS cy, {FIX.format('yolo.w')} AS w, {FIX.format('yolo.h')} AS h FROM u JOIN img ON img.pos = u.pos JOIN yolo ON yolo.image_id = img.image_id""")
 def k_mixup_labels(spark, sf_dir):
     sources = _recipes(spark, sf_dir).where("method = 'mixup'").select("item", F.posexplode("sources").alias("slot", "pos"))
     held = sources.join(img_pos(spark, sf_dir).select("pos", "image_id"), "pos").join(yolo(spark, sf_dir), "image_id")
-    return held.select("item", "slot", "ord", "class_id", *(F.bround(c, 6).alias(c) for c in ("cx", "cy", "w", "h")))
+    return held.select("item", "slot", "ord", "class_id", *(annotate.fixed6(F.col(c)).alias(c) for c in ("cx", "cy", "w", "h")))
 
 
 REGION = "CASE slot WHEN 0 THEN 0 WHEN 1 THEN xc WHEN 2 THEN 0 ELSE xc END AS x0, CASE slot WHEN 0 THEN 0 WHEN 1 THEN 0 ELSE yc END AS y0, CASE slot WHEN 0 THEN xc WHEN 2 THEN xc ELSE 640 END AS x1, CASE slot WHEN 0 THEN yc WHEN 1 THEN yc ELSE 640 END AS y1"
@@ -126,7 +126,7 @@ g AS (SELECT item, pos, slot, {REGION} FROM u),
 j AS (SELECT item, slot, ord, class_id, cx, cy, yolo.w AS bw, yolo.h AS bh, x0, y0, x1, y1, least((x1 - x0) / CAST(img.w AS DOUBLE), (y1 - y0) / CAST(img.h AS DOUBLE)) AS s, img.w AS iw, img.h AS ih FROM g JOIN img ON img.pos = g.pos JOIN yolo ON yolo.image_id = img.image_id),
 m AS (SELECT *, floor(iw * s) AS nw, floor(ih * s) AS nh FROM j),
 o AS (SELECT item, slot, ord, class_id, (cx * nw + (x0 + floor((x1 - x0 - nw) / 2))) / 640 AS cx, (cy * nh + (y0 + floor((y1 - y0 - nh) / 2))) / 640 AS cy, least(bw * nw / 640, 1) AS w, least(bh * nh / 640, 1) AS h FROM m)
-SELECT item, slot, ord, class_id, round_even(cx, 6) AS cx, round_even(cy, 6) AS cy, round_even(w, 6) AS w, round_even(h, 6) AS h FROM o WHERE cx > 0 AND cx < 1 AND cy > 0 AND cy < 1 AND w > 0.001 AND h > 0.001""")
+SELECT item, slot, ord, class_id, {FIXED} FROM o WHERE cx > 0 AND cx < 1 AND cy > 0 AND cy < 1 AND w > 0.001 AND h > 0.001""")
 def k_mosaic_labels(spark, sf_dir):
     sources = _recipes(spark, sf_dir).where("method = 'mosaic'").select("item", (160 + F.col("item") % 320).alias("xc"), (160 + F.col("item") * 7 % 320).alias("yc"), F.posexplode("sources").alias("slot", "pos"))
     images = img_pos(spark, sf_dir).select("pos", "image_id", F.col("w").cast("double").alias("iw"), F.col("h").cast("double").alias("ih"))
@@ -135,7 +135,7 @@ def k_mosaic_labels(spark, sf_dir):
     region = {"x0": F.when(slot.isin(1, 3), xc).otherwise(0), "y0": F.when(slot >= 2, yc).otherwise(0), "x1": F.when(slot.isin(0, 2), xc).otherwise(640), "y1": F.when(slot < 2, yc).otherwise(640)}
     box = augment.mosaic_label(F.col("cx"), F.col("cy"), F.col("w"), F.col("h"), region, (640, 640), (F.col("iw"), F.col("ih")))
     held = held.select("item", "slot", "ord", "class_id", *(v.alias(k) for k, v in box.items())).where(augment.mosaic_kept(F.col("cx"), F.col("cy"), F.col("w"), F.col("h")))
-    return held.select("item", "slot", "ord", "class_id", *(F.bround(c, 6).alias(c) for c in ("cx", "cy", "w", "h")))
+    return held.select("item", "slot", "ord", "class_id", *(annotate.fixed6(F.col(c)).alias(c) for c in ("cx", "cy", "w", "h")))
 
 
 # Splits. Shares are whole numbers of twentieths, so that both engines floor the same numbers.
