@@ -6,9 +6,12 @@ an equivalence class; the vector is folded into one number by an aggregation
 that combines before it shuffles, so no host's pages are gathered anywhere.
 Classes with enough support whose tokens come once a page and more than one at
 a time are valid, and nest by path into the host's template.  The main slot is
-the deepest valid container that holds most of the host's text outside of
-menus, adverts and the like; its blocks are the text of the page.  A page that
-lacks its host's main slot is judged by its own containers.
+the deepest valid section-like container that leaves out no article text on any
+page that has it; its blocks outside of menus, adverts and the like are the text
+of the page.  Article text is what stands in article and main elements, if that
+is most of the page's text, or else all of it.  Lists, tables, quotes and figures
+are parts of a text and never its slot.  A page that lacks its host's main slot
+is judged by its own containers.
 
 Defined results: a null or empty html gives an empty text; a null or odd url
 belongs to a host of its own name; repeated rows are treated one by one; an
@@ -39,10 +42,16 @@ APART = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 #: Words in a class, id or role that name what is not the article.
 APART_NAME = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|sidebar\w*|side|footer\w*|breadcrumb\w*|comment\w*|respond|disqus|cookie\w*|consent|notice\w*|popup|modal|newsletter|subscribe|share\w*|social\w*|related|widget\w*|toolbar|login|search)(?:$|[\s_-])", re.I)
 HEADER_NAME = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)
-#: A container's share of the text, and a class's share of the pages, from which it counts.
+#: Containers that can be the main slot, and those of them that name the article.
+SLOTS, ARTICLES = {"html", "body", "main", "article", "section", "div", "center"}, {"main", "article"}
+#: The share of the text that article elements hold, and a class's share of the pages, from which they count.
 SHARE, SUPPORT = 0.5, 0.5
 
 
+def _element(token: str) -> str:
+    return token.partition(".")[0]
+
+
 class Page:
     """Blocks (path, apart, text) in page order, and how often each container token comes."""
 
@@ -100,18 +109,21 @@ class Page:
         flush()
 
     def weights(self) -> Counter:
-        """Characters of text outside of what is apart, for every container path."""
+        """Characters of article text, for every container path."""
+        held = [(path, len(text)) for path, apart, text in self.blocks if not apart]
+        inside = [(path, n) for path, n in held if any(_element(token) in ARTICLES for token in path)]
+        if sum(n for _, n in inside) >= SHARE * sum(n for _, n in held):
+            held = inside
         found: Counter = Counter()
-        for path, apart, text in self.blocks:
-            if not apart:
-                for k in range(len(path) + 1):
-                    found[">".join(path[:k])] += len(text)
+        for path, n in held:
+            for k in range(len(path) + 1):
+                found[">".join(path[:k])] += n
         return found
 
     def own_slot(self) -> str:
         found = self.weights()
-        most = [p for p, n in found.items() if n >= SHARE * found[""] and self.tokens[p] == 1]
-        return max(most, key=lambda p: (p.count(">"), p), default="")
+        whole = [p for p, n in found.items() if n == found[""] and self.tokens[p] == 1 and _element(p.rpartition(">")[2]) in SLOTS]
+        return max(whole, key=lambda p: (p.count(">"), p), default="")
 
     def text(self, slot: str) -> str:
         if not slot or not self.tokens.get(slot):
@@ -127,7 +139,7 @@ def _hosted(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Valid template tokens of every host: host, path, class (folded occurrence vector), class_size, pages, chars, and parent path."""
+    """Valid template tokens of every host: host, path, class (folded occurrence vector), class_size, pages, chars, missed (article text outside of it on its pages), and parent path."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -135,23 +147,23 @@ def templates(pages: DataFrame) -> DataFrame:
             for row, host, source in zip(batch["row"], batch["host"], batch["html"]):
                 page = Page(source)
                 weights = page.weights()
-                out.append((row, host, "", 1, weights[""]))
-                out += [(row, host, token, n, weights[token]) for token, n in page.tokens.items()]
-            yield pd.DataFrame(out, columns=["row", "host", "token", "n", "chars"])
+                out.append((row, host, "", 1, weights[""], 0))
+                out += [(row, host, token, n, weights[token], weights[""] - weights[token]) for token, n in page.tokens.items()]
+            yield pd.DataFrame(out, columns=["row", "host", "token", "n", "chars", "missed"])
 
-    seen = _hosted(pages).withColumn("row", F.monotonically_increasing_id()).mapInPandas(tidy(scan), "row long, host string, token string, n int, chars long")
-    vectors = seen.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("row", "n")).alias("class"), F.max("n").alias("most"), F.count("*").alias("pages"), F.sum("chars").alias("chars"))
+    seen = _hosted(pages).withColumn("row", F.monotonically_increasing_id()).mapInPandas(tidy(scan), "row long, host string, token string, n int, chars long, missed long")
+    vectors = seen.groupBy("host", "token").agg(F.bit_xor(F.xxhash64("row", "n")).alias("class"), F.max("n").alias("most"), F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("missed").alias("missed"))
     vectors = written(vectors, "vectors")
     whole = vectors.where("token = ''").select("host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"))
     sizes = vectors.where("token <> ''").groupBy("host", "class").agg(F.count("*").alias("class_size"))
     valid = vectors.where("token <> '' and most = 1").join(sizes.where("class_size > 1"), ["host", "class"]).join(whole, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
     path = F.ltrim("token", F.lit("/"))
-    return valid.select("host", "token", path.alias("path"), "class", "class_size", "pages", "chars", "host_chars", F.regexp_replace(path, "(^|>)[^>]*$", "").alias("parent"))
+    return valid.select("host", "token", path.alias("path"), "class", "class_size", "pages", "chars", "missed", "host_chars", F.regexp_replace(path, "(^|>)[^>]*$", "").alias("parent"))
 
 
 def main_slots(pages: DataFrame) -> DataFrame:
     """host -> path of its main slot."""
-    held = templates(pages).where((F.substring("token", 1, 1) != "/") & (F.col("chars") >= SHARE * F.col("host_chars")) & (F.col("chars") > 0))
+    held = templates(pages).where((F.substring("token", 1, 1) != "/") & (F.col("missed") == 0) & (F.col("chars") > 0) & F.regexp_extract("path", r"([^>.]*)(?:\.[^>]*)?$", 1).isin(*sorted(SLOTS)))
     depth = F.size(F.split("path", ">"))
     return held.groupBy("host").agg(F.max(F.struct(depth.alias("depth"), "chars", "path")).alias("best")).select("host", F.col("best.path").alias("slot"))
 

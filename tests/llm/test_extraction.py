@@ -122,6 +122,21 @@ def test_articles_without_what_stands_around_them(spark):
     assert html_extract.extracted(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 6])
+def test_no_part_of_an_article_is_left_out(spark, n):
+    lists = "<html><body><article><p>" + "intro {n} " * 40 + "</p><ul><li>" + "item {n} " * 60 + "</li></ul></article></body></html>"
+    parts = "<html><body><div class='page'><h1>Title {n}</h1><div class='lead'>" + "lead {n} " * 30 + "</div><div class='body'>" + "body {n} " * 70 + "</div></div></body></html>"
+    inner = "<html><body><div>Unnamed frame</div><article><h1>Title {n}</h1><div class='lead'>lead {n}</div><div class='body'>" + "body {n} " * 70 + "</div></article></body></html>"
+    quote = "<html><body><div class='page'><p>before {n}</p><blockquote>" + "quoted {n} " * 60 + "</blockquote><table><tr><td>cell {n}</td></tr></table></div></body></html>"
+    pages = [(10 * k + i, f"https://h{k}.example.org/{i}", source.replace("{n}", str(i))) for k, source in enumerate((lists, parts, inner, quote)) for i in range(n)]
+    got = {r.page_id: r.text for r in html_extract.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(n):
+        assert got[i] == ("intro %d " % i * 40).strip() + "\n" + ("item %d " % i * 60).strip()
+        assert got[10 + i] == f"Title {i}\n" + ("lead %d " % i * 30).strip() + "\n" + ("body %d " % i * 70).strip()
+        assert got[20 + i] == f"Title {i}\nlead {i}\n" + ("body %d " % i * 70).strip()
+        assert got[30 + i] == f"before {i}\n" + ("quoted %d " % i * 60).strip() + f"\ncell {i}"
+
+
 def test_template_classes_nest(spark):
     pages = [(i, "https://h.example.org/", PAGE.replace("{n}", str(i))) for i in range(4)]
     found = html_extract.templates(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
