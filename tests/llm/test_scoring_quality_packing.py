@@ -46,6 +46,21 @@ def test_lm_base_is_exact_and_model_learns(spark, data, documents):
     assert sum(r.score for r in held) / sum(r.n_tokens for r in held) > -6.5
 
 
+def test_lm_learns_from_the_ends_of_long_texts(spark):
+    rng = random.Random(3)
+    filler = lambda: " ".join(rng.choice(["some", "other", "word", "of", "the", "text"]) for _ in range(1_200))
+    tail = " ".join(["quixotic zephyrs juggle"] * 100)
+    docs = [(i, tail if zlib.crc32(str(i).encode()) % 7 == 2 else f"{filler()} {tail}") for i in range(40)]
+    got = [r for r in lm.scored(spark.createDataFrame(docs, "doc_id long, text string"), *queries.tokenizer()).collect() if r.held_out]
+    assert got and all(r.score / r.n_tokens > -1 for r in got)
+
+
+def test_lm_draws_pieces_from_anywhere():
+    places = [p for digest in range(200) for p in lm.drawn(digest << 40, 9_600, 1 / 64)]
+    assert 0.5 < len(places) / (200 * 100 / 64) < 1.5 and min(places) < 960 and max(places) >= 8_640
+    assert lm.drawn(7, 9_600, 1.0) == list(range(0, 9_600, 96)) and lm.drawn(7, 0, 1.0) == [0]
+
+
 def test_lm_on_odd_rows(spark, odd, empty):
     docs = [(r.doc_id, r.text or "") for r in odd.collect()]
     check_scores(lm.scored(odd, *queries.tokenizer(), chunk=5).collect(), docs)
