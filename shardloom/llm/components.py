@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b), both long; root is the least node of the component.
 
     Edges from a node to itself keep it as its own root.  An empty table gives an
@@ -23,9 +23,7 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     state = written(edges.where("a <> b").select(*one_way(F.col("a"), F.col("b"))).distinct(), "edges")
     sign = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
     before = sign(state)
-    for _ in range(rounds):
-        if not before.n:
-            break
+    while before.n:  # until nothing changes
         # Large star: what lies above a node moves to the least of its neighbourhood.
         both = state.select(F.col("a").alias("u"), F.col("b").alias("v")).union(state.select("b", "a"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -33,6 +33,15 @@ def test_near_kept_is_the_greedy_walk(spark, seed, threshold):
     assert got == greedy(rows, threshold)
 
 
+@pytest.mark.parametrize("walked", [0, 100])
+def test_greedy_walk_goes_on_to_the_end_of_a_chain(spark, walked):
+    name = lambda i: f"frame{i:03d}"
+    nodes = spark.createDataFrame([(name(i),) for i in range(15)], "o string")
+    pairs = spark.createDataFrame([(name(i), name(i + 1)) for i in range(14)], "a string, b string")
+    got = deduplicate.greedy_kept(nodes, pairs, rounds=3, walked_pairs=walked)
+    assert sorted(r.o for r in got.collect()) == [name(i) for i in range(0, 15, 2)]
+
+
 def test_near_kept_follows_a_chain_not_components(spark):
     # a ~ b ~ c but not a ~ c: b goes, c stays.
     df = spark.createDataFrame([(0, 0b0), (1, 0b111), (2, 0b111111)], "o long, h long")
