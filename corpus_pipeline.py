@@ -19,6 +19,9 @@ from shardloom.llm.packing import packed, tokenised
 from shardloom.llm.quality import kept_rows
 from shardloom.llm.queries import tokenizer
 
+#: Words of a shingle and hundredths of similarity of the near-copy stage; op5 has values of its own.
+SHINGLE, PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -33,8 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return one_of_each(docs)
+    """One document of each group of near copies, by word shingles of five and 0.8, stays."""
+    return one_of_each(docs, SHINGLE, PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,18 @@ def test_each_stage_on_its_predecessors_rows(spark, data, tmp_path):
     assert sorted(map(key, by_run.collect())) == sorted(map(key, packed))
 
 
+def test_near_copies_by_five_words_and_four_fifths(spark, data):
+    words = [f"w{i}" for i in range(400)]
+    changed = lambda n: [f"other{i}" if 100 <= i < 100 + n else w for i, w in enumerate(words)]
+    # A run of 36 words: 356 of 436 shingles of five are shared, 0.817, and 358 of 436 of four, 0.82; one of 46: 346 of 446, 0.776.
+    docs = [(1, " ".join(words)), (2, " ".join(changed(36))), (3, " ".join(changed(46)))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    for other, alone in ((docs[1], False), (docs[2], True)):
+        assert len({c for _, _, c in brute_components([docs[0], other], 5, 80)}) == 1 + alone and len({c for _, _, c in brute_components([docs[0], other])}) == 2
+    stays = lambda wanted: {r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, frame.where(wanted), data).collect()}
+    assert stays("doc_id < 3") == {1} and stays("doc_id <> 2") == {1, 3}
+
+
 def test_n_chars_follows_the_text(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     out = corpus_pipeline.line_dedup(spark, docs, data)
