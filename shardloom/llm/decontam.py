@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, small, tidy, written
+from .common import Words, id_text, ngram_sums, small, tidy, written
 
 #: Words of items in one block, lengths of seeds, and the expected count below which an n-gram is rare.
 BLOCK_WORDS = 400_000
@@ -39,9 +39,9 @@ _MARKS = string.punctuation.encode()
 _BITS = np.uint64(44)  # a seed's high 20 bits address a table of a million flags
 
 
-def plain_words(text: str | None) -> list[bytes]:
+def plain(texts) -> Words:
     """Words without ASCII punctuation, A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").translate(LOWER_AZ, _MARKS).split() if text else []
+    return Words(texts, lower=True, without=_MARKS)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
@@ -71,6 +71,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best, j, end
 
 
+def _flags(hashes: np.ndarray) -> np.ndarray:
+    """A table over the high bits of hashes: whether one of these has them."""
+    flags = np.zeros(1 << 20, bool)
+    flags[hashes >> _BITS] = True
+    return flags
+
+
 def _blocks(items: DataFrame, words: int) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of about that many words; the driver holds one block at a time."""
     held, n = [], 0
@@ -88,14 +95,15 @@ def _word_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
     """Counts of the given word hashes over all documents, and the number of all words; one small row comes from each task's batch."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, total, n = WordHasher(), np.zeros(len(vocabulary), np.int64), 0
+        total, n = np.zeros(len(vocabulary), np.int64), 0
+        flags = _flags(vocabulary)
         for batch in batches:
-            for text in batch["text"]:
-                h = hasher(plain_words(text))
-                n += len(h)
-                at = np.searchsorted(vocabulary, h)
-                at[at == len(vocabulary)] = 0
-                total += np.bincount(at[vocabulary[at] == h], minlength=len(vocabulary))
+            h = plain(batch["text"]).hashes
+            n += len(h)
+            h = h[flags[h >> _BITS]]
+            at = np.searchsorted(vocabulary, h)
+            at[at == len(vocabulary)] = 0
+            total += np.bincount(at[vocabulary[at] == h], minlength=len(vocabulary))
         k = np.flatnonzero(total)
         yield pd.DataFrame({"word": np.append(k, -1), "n": np.append(total[k], n)})
 
@@ -110,7 +118,7 @@ def rare_seeds(items: list[np.ndarray], chance_of: dict[int, float], total: int,
     """length -> hash -> (item, offset) of the shortest rare n-gram from each word on; an item too short or too common for any gives its longest one."""
     seeds: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
     for k, words in enumerate(items):
-        grams = {n: ngram_hashes(words, n) for n in (*SEEDS, min(len(words), SEEDS[-1])) if n}
+        grams = dict(ngram_sums(words, sorted({*SEEDS, min(len(words), SEEDS[-1])} - {0})))
         logs = np.log([chance_of.get(int(w), 0.5 / max(total, 1)) for w in words]) if len(words) else np.zeros(0)
         sums = np.concatenate([[0.0], np.cumsum(logs)])
         found = False
@@ -136,8 +144,8 @@ def matched(docs: DataFrame, items: DataFrame, least: float = LEAST, block_words
     schema = "row long, doc_id long, item_id long, score double, first_word int, end_word int"
     found = spark.createDataFrame([], schema)
     for block in _blocks(items, block_words):
-        hasher = WordHasher()
-        words = [hasher(plain_words(text)) for _, text in block]
+        read = plain([text for _, text in block])
+        words = [read.of(k) for k in range(len(block))]
         vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
         if not len(vocabulary):
             continue
@@ -159,21 +167,20 @@ def without_leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Da
 def _matched_block(rows: DataFrame, shared, least: float, schema: str) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, items, tables = shared.value
-        flags = {}
-        for n, (hashes, _) in tables.items():
-            flags[n] = np.zeros(1 << 20, bool)
-            flags[n][hashes >> _BITS] = True
-        hasher = WordHasher()
+        flags = {n: _flags(hashes) for n, (hashes, _) in tables.items()}
         for batch in batches:
             out = []
-            for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-                words = hasher(plain_words(text))
-                starts: dict[int, list[int]] = defaultdict(list)
-                for n, (hashes, seeds) in tables.items():
-                    h = ngram_hashes(words, n)
-                    for at in np.flatnonzero(flags[n][h >> _BITS]):
-                        for item, offset in seeds.get(int(h[at]), ()):
-                            starts[item].append(int(at) - offset)
+            words = plain(batch["text"])
+            of = np.repeat(np.arange(len(batch)), words.counts)
+            ends = (words.at + words.counts)[of]
+            hits: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))  # text -> item -> places
+            for n, h in ngram_sums(words.hashes, sorted(tables)):
+                found = np.flatnonzero(flags[n][h >> _BITS])
+                for at in found[found + n <= ends[found]].tolist():
+                    for item, offset in tables[n][1].get(int(h[at]), ()):
+                        hits[int(of[at])][item].append(at - int(words.at[of[at]]) - offset)
+            for k, starts in sorted(hits.items()):
+                row, doc_id, read = batch["row"].iloc[k], batch["doc_id"].iloc[k], words.of(k)
                 for item, places in starts.items():
                     want = items[item]
                     pad = max(4, len(want) // 4)
@@ -184,7 +191,7 @@ def _matched_block(rows: DataFrame, shared, least: float, schema: str) -> DataFr
                             continue  # the passage around the last place holds this one
                         last = place
                         lo = max(0, place - pad)
-                        score, a, b = align(want, words[lo : place + len(want) + 2 * pad])
+                        score, a, b = align(want, read[lo : place + len(want) + 2 * pad])
                         best = max(best, (score / (MATCH * len(want)), lo + a, lo + b))
                     if best[0] >= least:
                         out.append((row, doc_id, ids[item], best[0], best[1], best[2]))

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, WordHasher, id_text, ngram_hashes, release_memory, small, tidy, written
+from .common import Words, id_text, ngram_hashes, release_memory, small, tidy, written
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
@@ -43,10 +43,11 @@ SLACK = 10  # hundredths of a set that a linked pair shares within the prefixes
 BLOCK_TOKENS = 2_000_000
 
 
-def shingles(hasher: WordHasher, text: str, n: int) -> np.ndarray:
-    """Distinct shingle hashes in ascending order; a text under n words is one shingle as a whole."""
-    words = text.encode("utf-8", "surrogatepass").translate(LOWER_AZ).split()
-    return np.unique(ngram_hashes(hasher(words), min(n, len(words)))) if words else np.zeros(0, np.uint64)
+def shingles(texts, n: int) -> Iterator[np.ndarray]:
+    """Each text's distinct shingle hashes in ascending order; a text under n words is one shingle as a whole."""
+    words = Words(texts, lower=True)
+    for k, m in enumerate(words.counts.tolist()):
+        yield np.unique(ngram_hashes(words.of(k), min(n, m))) if m else np.zeros(0, np.uint64)
 
 
 def least_partner(n: int, percent: int) -> int:
@@ -66,11 +67,9 @@ def _profiles(rows: DataFrame, n: int, percent: int) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        hasher = WordHasher()
         for batch in batches:
             out = []
-            for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-                s = shingles(hasher, text, n)
+            for row, doc_id, s in zip(batch["row"], batch["doc_id"], shingles(batch["text"], n)):
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 out.append((row, doc_id, len(s), (d >> 64) - 2**63, (d & (2**64 - 1)) - 2**63, s[: prefix_length(len(s), percent)].astype(np.int64)))
             frame = pd.DataFrame(out, columns=["row", "doc_id", "n", "d1", "d2", "prefix"])
@@ -183,9 +182,8 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
     plan = written(plan, "plan")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher()
         for batch in batches:
-            yield batch.drop(columns=["text"]).assign(shingles=[shingles(hasher, t, n).astype(np.int64) for t in batch["text"]])
+            yield batch.drop(columns=["text"]).assign(shingles=[s.astype(np.int64) for s in shingles(batch["text"], n)])
 
     wanted = rows.select("row", "text").join(small(plan), "row")
     full = wanted.select("row", "text", "block", "chunks", "chunk").mapInPandas(tidy(sets), "row long, block long, chunks int, chunk int, shingles array<long>")

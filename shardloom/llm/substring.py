@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHasher, discard, id_text, in_order, mix64, ngram_hashes, small, tidy, words_of, written, written_at
+from .common import WORD, Words, discard, id_text, in_order, mix64, ngram_hashes, small, tidy, words_of, written, written_at
 
 WIDTH = 20
 DOUBLINGS = 1
@@ -63,17 +63,15 @@ def _first_level(rows: DataFrame, width: int, base: int) -> DataFrame:
     """One row a document: its length, digest, and first-level windows (none for copies)."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = WordHasher()
         for batch in batches:
             out = []
-            for row, doc_id, text, copy in zip(batch["row"], batch["doc_id"], batch["text"], batch["copy"]):
-                words = words_of(text)
-                n = len(words)
+            words = Words(batch["text"])
+            for k, (row, doc_id, text, copy, n) in enumerate(zip(batch["row"], batch["doc_id"], batch["text"], batch["copy"], words.counts.tolist())):
                 if copy and n >= width:
                     out.append((row, doc_id, n, True, "", [], []))
                     continue
-                at, h = anchors(hasher(words), width, base) if n >= width else ((), np.zeros(0, np.uint64))
-                out.append((row, doc_id, n, False, hashlib.sha256(b" ".join(words)).hexdigest(), h.astype(np.int64), np.asarray(at, np.int32)))
+                at, h = anchors(words.of(k), width, base)
+                out.append((row, doc_id, n, False, hashlib.sha256(b" ".join(words_of(text))).hexdigest(), h.astype(np.int64), at.astype(np.int32)))
             frame = pd.DataFrame(out, columns=["row", "doc_id", "n_words", "copy", "sha", "hashes", "places"])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
@@ -113,12 +111,13 @@ def removable(docs: DataFrame, width: int = WIDTH, doublings: int = DOUBLINGS) -
 
     def hashed(length: int):
         def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            hasher = WordHasher()
             for batch in batches:
                 for lo in range(0, len(batch), 500):
                     out = []
-                    for row, number, text, places in zip(*(batch[c].iloc[lo : lo + 500] for c in ("row", "number", "text", "places"))):
-                        words = hasher(words_of(text))
+                    part = batch.iloc[lo : lo + 500]
+                    read = Words(part["text"])
+                    for k, (row, number, places) in enumerate(zip(part["row"], part["number"], part["places"])):
+                        words = read.of(k)
                         h = ngram_hashes(words, length)
                         at = extended(places, length, width, len(words))
                         a, b = h[at], h[at + length]  # two halves make a hash of 96 bits
@@ -137,11 +136,11 @@ def removable(docs: DataFrame, width: int = WIDTH, doublings: int = DOUBLINGS) -
         texts = written(_with_text(rows, live), "texts")
 
         def spread(batches: Iterator[pd.DataFrame], length: int = length) -> Iterator[pd.DataFrame]:
-            hasher = WordHasher()
             for batch in batches:
                 out = []
-                for row, text, places in zip(batch["row"], batch["text"], batch["places"]):
-                    words = hasher(words_of(text))
+                read = Words(batch["text"])
+                for k, (row, places) in enumerate(zip(batch["row"], batch["places"])):
+                    words = read.of(k)
                     at = extended(places, length, width, len(words))
                     out.append((row, ngram_hashes(words, 2 * length)[at].astype(np.int64), at.astype(np.int32)))
                 yield pd.DataFrame(out, columns=["row", "hashes", "places"])

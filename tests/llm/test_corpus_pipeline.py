@@ -7,8 +7,8 @@ from pathlib import Path
 
 import corpus_pipeline
 import __spark_entry__
-from shardloom.llm import decontam, queries
-from tests.llm.test_matching import brute_components
+from shardloom.llm import queries
+from tests.llm.test_matching import brute_components, plain_words
 from tests.llm.test_scoring_quality_packing import features
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -30,8 +30,8 @@ def test_each_stage_on_its_predecessors_rows(spark, data, tmp_path):
     assert all(clean[i] == start[i] for i in clean)
     assert set(lines) == set(clean) and all(set(lines[i].split("\n")) <= set(clean[i].split("\n")) for i in lines)
     assert set(single) == {c for _, _, c in brute_components(sorted(lines.items()))}
-    items = [decontam.plain_words(r.text) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
-    spaced = lambda t: b" " + b" ".join(decontam.plain_words(t)) + b" "
+    items = [plain_words(r.text) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    spaced = lambda t: b" " + b" ".join(plain_words(t)) + b" "
     leaked = {i for i, t in single.items() if any(b" " + b" ".join(w) + b" " in spaced(t) for w in items)}
     assert leaked and not leaked & set(leakless) and len(leakless) > 0.8 * (len(single) - len(leaked))
     packed = docs.collect()

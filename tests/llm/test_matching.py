@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import string
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -38,6 +39,11 @@ def brute_components(docs, n=4, percent=85):
     return sorted(((i, len(sets[k]), least[root(k)]) for k, (i, _) in enumerate(docs)), key=lambda x: (order_of(x[0]), x[1]))
 
 
+def plain_words(text):
+    """Words without ASCII punctuation, A-Z in lower case."""
+    return (text or "").encode().translate(LOWER_AZ, string.punctuation.encode()).split()
+
+
 def got_components(frame):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in frame.collect()), key=lambda x: (order_of(x[0]), x[1]))
 
@@ -214,9 +220,9 @@ def test_leaks_exact_edited_and_clean(spark):
 
 def test_leaks_of_the_benchmark_table(spark, data, documents):
     got = {(r.doc_id, r.item_id): r for r in queries.op4_benchmark_decontamination(spark, data).collect()}
-    items = [(r.item_id, decontam.plain_words(r.text)) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    items = [(r.item_id, plain_words(r.text)) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
     for i, text in documents:
-        words = decontam.plain_words(text)
+        words = plain_words(text)
         joined = b" " + b" ".join(words) + b" "
         for k, item in items:
             whole = b" " + b" ".join(item) + b" " in joined

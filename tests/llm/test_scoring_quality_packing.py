@@ -41,9 +41,8 @@ def check_scores(got, docs):
 def test_lm_base_is_exact_and_model_learns(spark, data, documents):
     got = queries.op1_lm_scoring(spark, data).collect()
     check_scores(got, documents)
-    # Far better than guessing among the ids, on texts it didn't see.
-    held = [r for r in got if r.held_out]
-    assert sum(r.score for r in held) / sum(r.n_tokens for r in held) > -6.5
+    held = [r for r in got if r.held_out]  # better than word counts on texts that it didn't see
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.1 * sum(r.n_tokens for r in held)
 
 
 def test_lm_learns_from_the_ends_of_long_texts(spark):
@@ -63,7 +62,7 @@ def test_lm_draws_pieces_from_anywhere():
 
 def test_lm_on_odd_rows(spark, odd, empty):
     docs = [(r.doc_id, r.text or "") for r in odd.collect()]
-    check_scores(lm.scored(odd, *queries.tokenizer(), chunk=5).collect(), docs)
+    check_scores(lm.scored(odd, *queries.tokenizer(), chunks=((300, 2), (5_000, 3))).collect(), docs)
     assert lm.scored(empty, *queries.tokenizer()).count() == 0
 
 
