@@ -70,6 +70,24 @@ def small(df: DataFrame, values: Column | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_VALUES else df
 
 
+#: Rows of one key from which it counts as hot; a table has so many times fewer hot keys than rows.
+HOT_ROWS = 20_000
+
+
+def joined_by_key(left: DataFrame, right: DataFrame, keys: list[str], rows: str, hot: int = HOT_ROWS) -> DataFrame:
+    """Inner join with right, a written table of one row a key whose column ``rows`` tells how many rows of left have that key at most.
+
+    Hot keys are few and their rows stay where they are; the others meet by a
+    shuffle in which no key has more than ``hot`` rows.
+    """
+    frequent, rest = right.where(F.col(rows) > hot), right.where(F.col(rows) <= hot).drop(rows)
+    if frequent.isEmpty():
+        return left.join(small(rest), keys)
+    frequent = small(frequent.drop(rows))
+    cold = left.join(frequent.select(*keys), keys, "left_anti").join(rest, keys)
+    return left.join(frequent, keys).unionByName(cold)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
