@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import discard, in_order, shared_dir, shuffle_partitions, small, table, written, written_at  # noqa: F401
+from ..storage import HOT_ROWS, discard, in_order, joined_by_key, shared_dir, shuffle_partitions, small, table, written, written_at  # noqa: F401
 
 #: Java spelling of the contract's word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large and small stars.
 
 Every step is two aggregations that combine before they shuffle and one join of
-edges with one row a node; no node's edges are gathered in one place.
+edges with one row a node; a node with very many edges is broadcast to them, so
+that no hub's edges are gathered in one place.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, joined_by_key, written, written_at
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,19 +21,23 @@ def components(edges: DataFrame) -> DataFrame:
     """
     one_way = lambda a, b: (F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    state = written(edges.where("a <> b").select(*one_way(F.col("a"), F.col("b"))).distinct(), "edges")
+    spark = edges.sparkSession
+    state, path = written_at(edges.where("a <> b").select(*one_way(F.col("a"), F.col("b"))).distinct(), "edges")
     sign = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
     before = sign(state)
     while before.n:  # until nothing changes
         # Large star: what lies above a node moves to the least of its neighbourhood.
         both = state.select(F.col("a").alias("u"), F.col("b").alias("v")).union(state.select("b", "a"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(*one_way(F.col("v"), F.col("m"))).distinct()
+        least, at = written_at(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("edges")).select("u", F.least("u", "m").alias("m"), "edges"), "stars")
+        moved = joined_by_key(both.where("v > u"), least, ["u"], "edges").select(*one_way(F.col("v"), F.col("m")))
+        large, between = written_at(moved.distinct(), "edges")
         # Small star: a node and what lies below it move to the least below it.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        held = large.join(least, "a")
-        after = held.where("b <> m").select(*one_way(F.col("b"), F.col("m"))).union(least.select("a", F.col("m").alias("b"))).distinct()
-        state = written(after, "edges")
+        low, under = written_at(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("edges")), "stars")
+        held = joined_by_key(large, low, ["a"], "edges")
+        after = held.where("b <> m").select(*one_way(F.col("b"), F.col("m"))).union(low.select("a", F.col("m").alias("b"))).distinct()
+        old, (state, path) = path, written_at(after, "edges")
+        for done in (old, at, between, under):
+            discard(spark, done)
         now = sign(state)
         if now == before:
             break

@@ -16,9 +16,15 @@ such links.
    reach the overlap T its size demands: short lists are merged and counted,
    what reaches T less the number of long lists is probed in those by binary
    search (DivideSkip).  Documents already known to be connected are not probed.
-   Blocks over ``block_tokens`` are split into chunks, and each pair of chunks is
-   a task of its own.
-5. Links join classes; each gets its smallest doc_id.
+   Blocks over ``block_tokens`` are split into chunks.  Each chunk is searched by
+   itself and against the block's first one; that mostly leaves one large
+   component, its core, since a block forms around a text that has many near
+   copies.  Documents of the core need no more comparison with each other: what
+   isn't in the core is dealt into chunks of its own, which are searched against
+   each other and against the core's.
+5. Links join classes; each gets its smallest doc_id.  What many rows have in
+   common (a class of copies, a token) is joined by a broadcast of the few values
+   that are so frequent, or in salted parts.
 
 Defined results: null, empty and blank texts have an empty set and are linked
 with nothing; repeated rows are a class; null ids come last; an empty table
@@ -35,12 +41,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, id_text, ngram_hashes, release_memory, small, tidy, written
+from .common import HOT_ROWS, Words, id_text, joined_by_key, ngram_hashes, release_memory, small, tidy, written
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
 SLACK = 10  # hundredths of a set that a linked pair shares within the prefixes at least
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 500_000
 
 
 def shingles(texts, n: int) -> Iterator[np.ndarray]:
@@ -156,8 +162,8 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
     rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
     level = written(_profiles(rows, n, percent), "profiles")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    classes = level.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("first"))
-    classes = written(classes.select("d1", "d2", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_id")), "classes")
+    classes = level.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("members"))
+    classes = written(classes.select("d1", "d2", "members", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_id")), "classes")
     # Rows that aren't the first of their class; few of many, so that this join can be small.
     more = level.where("n > 0").select("row").join(classes.select(F.col("first_row").alias("row")), "row", "left_anti")
     firsts = level.where("n > 0").select("row", "n", "prefix").join(small(written(more, "copies")), "row", "left_anti")
@@ -171,25 +177,23 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
     active = written(active.select("row", "n"), "active")
     held = shared.join(small(active.withColumn("spare", F.floor((enough - 1) / 2)).select("row", "spare")), "row")
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("df"), "token"))  # within a document
-    held = written(held.withColumn("rank", rank).where("rank > spare").select("row", "token"), "held")
-    pivot = held.groupBy("token").agg(F.min("row").alias("b"), F.count("*").alias("df")).where("df > 1").select("token", "b")
-    edges = held.join(pivot, "token").select(F.col("row").alias("a"), "b").distinct()
+    salt = F.when(F.col("df") > HOT_ROWS, F.pmod(F.xxhash64("row"), F.ceil(F.col("df") / HOT_ROWS))).otherwise(0).alias("salt")
+    held = written(held.withColumn("rank", rank).where("rank > spare").select("row", "token", salt), "held")
+    # Each row to the least of its token and salt, and these to the least of the token.
+    part = held.groupBy("token", "salt").agg(F.min("row").alias("b"), F.count("*").alias("m"))
+    least = part.groupBy("token").agg(F.min("b").alias("least"), F.sum("m").alias("df")).where("df > 1").select("token", "least")
+    pivot = written(part.join(least, "token").select("token", "salt", "b", "least"), "pivot")
+    edges = held.join(pivot, ["token", "salt"]).select(F.col("row").alias("a"), "b").union(pivot.select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()
     blocks = written(active.join(components(edges), F.col("row") == F.col("node")).select("row", "n", F.col("root").alias("block")), "blocks")
-    total = blocks.groupBy("block").agg(F.sum("n").alias("total"), F.count("*").alias("members")).where("members > 1")
+    total = written(blocks.groupBy("block").agg(F.sum("n").alias("total"), F.count("*").alias("members")).where("members > 1"), "totals")
     half = max(1, block_tokens // 2)
-    plan = blocks.join(total, "block").withColumn("chunks", F.when(F.col("total") <= block_tokens, 1).otherwise(F.ceil(F.col("total") / half)).cast("int"))
-    plan = plan.withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")).select("row", "block", "chunks", "chunk")
-    plan = written(plan, "plan")
+    plan = joined_by_key(blocks, total, ["block"], "members").withColumn("chunks", F.when(F.col("total") <= block_tokens, 1).otherwise(F.ceil(F.col("total") / half)).cast("int"))
+    plan = written(plan.withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")).select("row", "n", "block", "chunks", "chunk"), "plan")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.drop(columns=["text"]).assign(shingles=[s.astype(np.int64) for s in shingles(batch["text"], n)])
 
-    wanted = rows.select("row", "text").join(small(plan), "row")
-    full = wanted.select("row", "text", "block", "chunks", "chunk").mapInPandas(tidy(sets), "row long, block long, chunks int, chunk int, shingles array<long>")
-    pair = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(j, F.col("chunk")).alias("i"), F.greatest(j, F.col("chunk")).alias("j")))
-    dealt = full.withColumn("pair", F.explode(pair)).select("row", "block", "chunk", "pair.i", "pair.j", "shingles")
-
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("row")
         held = [np.asarray(x, np.int64).view(np.uint64) for x in frame["shingles"]]
@@ -200,13 +204,44 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
         release_memory()
         return pd.DataFrame({"a": [row[x] for x, _ in links], "b": [row[y] for _, y in links]}, columns=["a", "b"])
 
-    links = written(dealt.groupBy("block", "i", "j").applyInPandas(search, "a long, b long"), "links")
+    def searched(dealt: DataFrame) -> DataFrame:
+        """Links within (block, i, i) and across (block, i, j)."""
+        return dealt.select("row", "block", "chunk", "pair.i", "pair.j", "shingles").groupBy("block", "i", "j").applyInPandas(search, "a long, b long")
+
+    pair = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    wanted = rows.select("row", "text").join(small(plan), "row").select("row", "text", "n", "block", "chunks", "chunk")
+    full = wanted.mapInPandas(tidy(sets), "row long, n long, block long, chunks int, chunk int, shingles array<long>")
+    large = plan.where("chunks > 1")
+    if large.isEmpty():
+        links = searched(full.withColumn("pair", pair(F.lit(0), F.lit(0))))
+    else:
+        full = written(full, "sets")
+        own, zero = F.col("chunk"), F.lit(0)
+        first = F.array_distinct(F.when(own == 0, F.transform(F.sequence(zero, F.col("chunks") - 1), lambda j: pair(zero, j))).otherwise(F.array(pair(own, own), pair(zero, own))))
+        links = written(searched(full.withColumn("pair", F.explode(first))), "links")
+        label = components(links).select(F.col("node").alias("row"), "root")
+        parts = written(large.join(label, "row", "left").withColumn("root", F.coalesce("root", "row")), "parts")
+        core = parts.groupBy("block", "root").agg(F.count("*").alias("m")).groupBy("block").agg(F.max(F.struct("m", "root")).alias("core")).select("block", F.col("core.root").alias("core"))
+        rest = written(parts.join(small(written(core, "cores")), "block").where("root <> core").select("row", "block", "n", "chunks"), "rest")
+        shares = rest.groupBy("block").agg(F.ceil(F.sum("n") / half).cast("int").alias("others"))  # only blocks that have others than the core
+        dealt = full.join(small(written(shares, "shares")), "block").join(small(rest.select("row", F.lit(True).alias("other"))), "row", "left")
+        # Chunks from ``chunks`` on are of others than the core.
+        dealt = dealt.withColumn("chunk", F.when(F.col("other"), F.col("chunks") + F.pmod(F.xxhash64("row", F.lit(1)), F.col("others"))).otherwise(F.col("chunk")).cast("int"))
+        others = F.sequence(F.col("chunks"), F.col("chunks") + F.col("others") - 1)
+        every = F.sequence(zero, F.col("chunks") + F.col("others") - 1)
+        pairs = F.when(F.col("other"), F.transform(every, lambda j: pair(F.least(j, own), F.greatest(j, own)))).otherwise(F.transform(others, lambda j: pair(own, j)))
+        links = links.union(searched(dealt.withColumn("pair", F.explode(pairs))))
+
+    links = written(links, "links")
     joined = components(links).join(classes.select(F.col("first_row").alias("node"), "first_id"), "node")
     least = joined.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("doc_id"), F.col("node").alias("row"))).alias("least"))
     of = written(joined.join(least, "root").select(F.col("node").alias("first_row"), F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("component_row")), "components")
-    named = classes.join(small(of), "first_row", "left").select("d1", "d2", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component_row", "first_row").alias("component_row"))
-    every = level.select("row", "doc_id", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
-    return every.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("component_row", "row").alias("component_row"))
+    named = classes.join(small(of), "first_row", "left").select("d1", "d2", "members", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component_row", "first_row").alias("component_row"))
+    held = level.select("row", "doc_id", "n", "d1", "d2")
+    of_class = joined_by_key(held.where("n > 0"), written(named, "named"), ["d1", "d2"], "members")
+    columns = ["row", "doc_id", F.col("n").alias("n_shingles"), "component_id", "component_row"]
+    alone = held.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("component_row", F.col("row"))
+    return of_class.select(*columns).union(alone.select(*columns))
 
 
 def one_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
