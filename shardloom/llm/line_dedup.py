@@ -53,8 +53,10 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, c
     variants = held.groupBy("leaf", "variant", "digest").agg(F.first("tokens").alias("tokens")).groupBy("leaf", "variant").agg(F.first("tokens").alias("tokens"), F.count("*").alias("docs"))
     variants = written(variants, "variants")
     places = variants.select("leaf", "variant", "docs", F.posexplode("tokens").alias("at", "token"))
-    support = places.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support"))
-    fields = places.join(support, ["leaf", "at", "token"]).withColumn("kept", F.when((F.col("support") >= min_docs), F.col("token")).otherwise(FIELD))
+    # What stays constant is at most one token in min_docs; the leading tokens of a leaf are in all of its variants.
+    constants = places.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    constants = written(constants.select("leaf", "at", "token", F.lit(True).alias("constant")), "constants")
+    fields = places.join(small(constants), ["leaf", "at", "token"], "left").withColumn("kept", F.when(F.col("constant"), F.col("token")).otherwise(FIELD))
     shaped = fields.groupBy("leaf", "variant").agg(F.array_sort(F.collect_list(F.struct("at", "kept"))).alias("t"), F.first("docs").alias("docs"))
     shaped = written(shaped.select("leaf", "variant", "docs", F.concat_ws(" ", "t.kept").alias("template"), (F.aggregate("t", F.lit(0), lambda n, x: n + (x["kept"] != FIELD).cast("int")) / F.size("t")).alias("share")), "shaped")
     often = shaped.where(F.col("share") >= constant).groupBy("leaf", "template").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("leaf", "template")
@@ -66,10 +68,11 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, c
 
 def without_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, constant: float = CONSTANT) -> DataFrame:
     """docs with the remaining lines as text, and columns n_lines and n_dropped after its own."""
-    gone = dropped_lines(docs, min_docs, lead, constant).groupBy("row").agg(F.collect_set("place").alias("__gone"))
+    gone = dropped_lines(docs, min_docs, lead, constant).groupBy("row").agg(F.collect_set("place").alias("__gone"))  # lines of one row
     gone = written(gone, "gone").withColumnRenamed("row", "__row")
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     held = docs.withColumn("__row", F.monotonically_increasing_id()).join(small(gone, F.size("__gone")), "__row", "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    left = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.array_contains("__gone", i))))
+    held = held.withColumn("__lines", F.when(F.col("__gone").isNotNull(), lines))
+    left = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone"), lambda i: F.element_at("__lines", i + 1)), "\n"))
     return held.select(*(left.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"))

@@ -5,6 +5,7 @@ import html
 import random
 import re
 import string
+import time
 
 import pytest
 
@@ -93,11 +94,46 @@ def test_markov_models_tell_random_strings_from_words(spark):
     identifier = lambda: "_".join("".join(rng.choice(syllables) for _ in range(2)) for _ in range(4))
     token = lambda n=32, a=string.ascii_letters + string.digits: "".join(rng.choice(a) for _ in range(n))
     train = [(i, " ".join([name(), identifier(), f"token={token()}", f"secret: {token(40, '0123456789abcdef')}"] + [name() for _ in range(20)])) for i in range(60)]
-    ratios = secrets.fitted(spark.createDataFrame(train, "doc_id long, text string"))
+    frame = spark.createDataFrame(train, "doc_id long, text string")
+    ratios = secrets.fitted(secrets.read(frame), frame)
     test = [(i, name() if i % 2 else identifier()) for i in range(100)] + [(100 + i, token(rng.randint(24, 44))) for i in range(100)]
     frame = spark.createDataFrame([(i, f"see {t} here") for i, t in test], "doc_id long, text string")
     got = {r.doc_id: bool(r.markov) for r in secrets.scanned(frame, ratios).collect()}
     assert sum(got[i] for i in range(100)) <= 2 and sum(got[100 + i] for i in range(100)) >= 95
+    short = [(i, token(16)) for i in range(60)] + [(100 + i, name()[:16]) for i in range(60)] + [(200 + i, f"{token(7)}.{token(12)}") for i in range(20)]
+    frame = spark.createDataFrame([(i, f"see {t}, here") for i, t in short], "doc_id long, text string")
+    got = {r.doc_id: [s.value for s in r.markov] for r in secrets.scanned(frame, ratios).collect()}
+    assert sum(got[i] == [short[i][1]] for i in range(60)) >= 48 and sum(bool(got[100 + i]) for i in range(60)) <= 1
+    assert sum(got[200 + i] == [short[120 + i][1]] for i in range(20)) >= 18
+
+
+def test_a_round_finds_what_the_round_before_made_known(spark):
+    rng = random.Random(9)
+    fill = lambda: " ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(6)) for _ in range(8))
+    docs = [(i, f"{fill()} please contact us at user{i}@mail.example.com {fill()}") for i in range(100)]
+    docs += [(200 + i, f"{fill()} please contact us at u{i}@intranet {fill()}") for i in range(10)]
+    docs += [(300 + i, f"{fill()} the badge holder u{i}@intranet {fill()}") for i in range(11)]  # the last one is met only here
+    docs += [(400 + i, f"{fill()} phone our desk at +1555123{i:04d} {fill()}") for i in range(30)]
+    docs += [(500 + i, f"{fill()} phone our desk at (555) 123 40{i:02d}. {fill()}") for i in range(3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    once, often = ({r.doc_id: [s.value for s in r.context] for r in pii.found_in(frame, rounds=n).collect()} for n in (1, 4))
+    assert all(once[200 + i] == often[200 + i] == [f"u{i}@intranet"] for i in range(10))
+    assert not once[310] and often[310] == ["u10@intranet"]
+    assert all(often[500 + i] == [f"(555) 123 40{i:02d}"] for i in range(3))
+
+
+@pytest.mark.parametrize("kind", ["pii", "secrets"])
+def test_a_text_full_of_matches(spark, kind):
+    part, n = ("mail a.b@cd.ef or user7@x and 12345678 now ", 3_000) if kind == "pii" else ("token=abcdefgh12 and Zq8Xv2Kp9Lm4Tz7R now ", 3_000)
+    frame = spark.createDataFrame([(1, part * n)], "doc_id long, text string")
+    began = time.perf_counter()
+    if kind == "pii":
+        r = pii.found_in(frame).first()
+        assert [(s.start, s.end) for s in r.email[:2] + r.email[-1:]] == [(5, 14), (48, 57), (43 * (n - 1) + 5, 43 * (n - 1) + 14)] and len(r.email) == n
+    else:
+        r = secrets.scanned(frame).first()
+        assert len(r.assign) == n and (r.assign[-1].start, r.assign[-1].end) == (len(part) * (n - 1), len(part) * (n - 1) + 16) and not r.hex
+    assert time.perf_counter() - began < 60
 
 
 PAGE = """<!DOCTYPE html><html><head><title>Head</title><style>p{}</style><script>var t="</p>";</script></head><body>
