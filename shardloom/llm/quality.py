@@ -30,7 +30,7 @@ SYMBOLS = b"#*$%&|<>"
 LABEL_SAMPLE = 20_000
 TIMING_SAMPLE = 200
 #: A lexicon word is in this share of the toxic sample at least, and this share of the sampled texts that hold it are toxic.
-LEXICON_SHARE, LEXICON_PRECISION, LEXICON_LEAST, LEXICON_MOST = 0.02, 0.9, 5, 1_000
+LEXICON_SHARE, LEXICON_PRECISION, LEXICON_LEAST = 0.02, 0.9, 5
 
 
 class Text:
@@ -109,7 +109,8 @@ def default_rules(lexicon: frozenset[bytes] = frozenset(), *, min_words: int = 5
 def toxic_lexicon(docs: DataFrame, labels: DataFrame, sample: int = LABEL_SAMPLE) -> frozenset[bytes]:
     """Words that mark toxic texts, from at most ``sample`` labelled rows.
 
-    A word counts once per text.  The result is bounded by LEXICON_MOST words.
+    A word counts once per text.  As it is in a share of the toxic texts, there are
+    no more words than the longest texts of that share have.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().dropDuplicates(["doc_id"])
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -119,7 +120,7 @@ def toxic_lexicon(docs: DataFrame, labels: DataFrame, sample: int = LABEL_SAMPLE
     n_toxic = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0))).first()[0]
     least = max(LEXICON_LEAST, LEXICON_SHARE * n_toxic)
     best = seen.where((F.col("word") != "") & (F.col("toxic") >= least) & (F.col("toxic") >= LEXICON_PRECISION * F.col("n")))
-    return frozenset(r.word.encode() for r in best.orderBy(F.desc("toxic"), "word").limit(LEXICON_MOST).collect())
+    return frozenset(r.word.encode() for r in best.select("word").collect())
 
 
 def cascade_order(rules: list[Rule], texts: list[str]) -> list[Rule]:
