@@ -6,9 +6,11 @@ any parallelism, with the counts and proportions of a seeded shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import in_order, small, written
@@ -16,52 +18,58 @@ from ..storage import in_order, small, written
 RATIOS = {"train": 0.8, "val": 0.15, "test": 0.05}
 
 
+#: Splits with a place of their own; others follow in the order given.
+FIRST = {"train": 0, "val": 1, "test": 2}
+
+
 def ordered(ratios: Mapping[str, float]) -> list[str]:
-    """train, val, test first, then the others as given."""
-    first = [s for s in ("train", "val", "test") if s in ratios]
-    return first + [s for s in ratios if s not in first]
+    """Names of the splits by place."""
+    return sorted(ratios, key=lambda name: FIRST.get(name, len(FIRST)))
 
 
 def shuffle_key(identity: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), identity.cast("string")))
 
 
-def allocate(n: int, ratios: Mapping[str, float], credits: list[float] | None = None) -> tuple[list[int], list[float]]:
+def allocate(n: int, ratios: Mapping[str, float], credits: Sequence[float] | None = None) -> tuple[list[int], list[float]]:
     """Counts by largest remainder, and what each split is owed afterwards.
 
-    Ties in the remainder go to the earlier split; what is allotted too much is
-    taken back from the smallest remainder.
+    Whole shares come first.  Items that remain go round by descending remainder,
+    ties to the earlier split.  Where credit makes the whole shares too many, the
+    split of least remainder gives back all it can, then the next one.
     """
-    names = ordered(ratios)
-    total = sum(ratios.values())
-    want = [n * ratios[s] / total + (credits[i] if credits else 0.0) for i, s in enumerate(names)]
-    counts = [max(0, int(x // 1)) for x in want]
-    rest = n - sum(counts)
-    by_need = sorted(range(len(names)), key=lambda i: (-(want[i] - counts[i]), i))
-    k = 0
-    while rest > 0:
-        counts[by_need[k % len(names)]] += 1
-        rest, k = rest - 1, k + 1
-    back = by_need[::-1]
-    k = 0
-    while rest < 0:
-        i = back[k % len(names)]
-        if counts[i]:
-            counts[i] -= 1
-            rest += 1
-        k += 1
-    return counts, [w - c for w, c in zip(want, counts)]
+    weight = np.asarray([ratios[name] for name in ordered(ratios)], float)
+    due = n * weight / weight.sum() + (0.0 if credits is None else np.asarray(credits, float))
+    whole = np.maximum(np.floor(due), 0).astype(int)
+    remainder, left = due - whole, n - int(whole.sum())
+    if left >= 0:
+        rank = np.empty(len(due), int)
+        rank[np.argsort(-remainder, kind="stable")] = np.arange(len(due))
+        counts = whole + left // len(due) + (rank < left % len(due))
+    else:
+        order = np.argsort(remainder, kind="stable")
+        before = np.cumsum(whole[order]) - whole[order]  # what those of less remainder can give
+        counts = whole.copy()
+        counts[order] -= np.clip(-left - before, 0, whole[order])
+    return counts.tolist(), (due - counts).tolist()
+
+
+def apportioned(sizes: DataFrame, group: str, n: str, ratios: Mapping[str, float] = RATIOS) -> DataFrame:
+    """(group, split, count) by largest remainder, each group by itself: ranks over the few splits of a group, without the driver."""
+    names, total = ordered(ratios), sum(ratios.values())
+    splits = F.array(*(F.struct(F.lit(k).alias("place"), F.lit(name).alias("split"), (F.col(n) * F.lit(float(ratios[name])) / F.lit(float(total))).alias("due")) for k, name in enumerate(names)))
+    held = sizes.select(group, n, F.inline(splits)).withColumn("whole", F.floor("due"))
+    left = F.col(n) - F.sum("whole").over(Window.partitionBy(group))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(F.col("due") - F.col("whole")), "place"))
+    return held.select(group, "split", (F.col("whole") + (rank <= left).cast("long")).cast("long").alias("count"))
 
 
 def allocations(classes: list[tuple[int, int]], ratios: Mapping[str, float]) -> list[tuple[int, str, int, int]]:
-    """(class, split, first rank, count) over classes in ascending order, with the remainder carried from class to class."""
-    names, credits, out = ordered(ratios), None, []
+    """(class, split, first rank, count) over classes in ascending order; what a class owes a split is carried to the next class."""
+    out, owed = [], None
     for cls, n in sorted(classes):
-        counts, credits = allocate(n, ratios, credits)
-        at = 0
-        for name, c in zip(names, counts):
-            out.append((cls, name, at, c))
-            at += c
+        counts, owed = allocate(n, ratios, owed)
+        out += [(cls, name, upto - c, c) for name, c, upto in zip(ordered(ratios), counts, accumulate(counts))]
     return out
 
 

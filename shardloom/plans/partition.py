@@ -30,7 +30,7 @@ def meeting_split(n: int, cpu: float, csd: float) -> int:
 def weights_of(ratio: float, cycle: int = WRR_MAX_CYCLE) -> tuple[int, int]:
     """The weights whose ratio is relatively nearest, their sum being at most ``cycle``; the first best wins."""
     if ratio <= 0:
-        return 1, 1
+        raise ValueError(f"the ratio of two targets must be positive, not {ratio}")
     if ratio >= cycle - 1:
         return max(1, round(ratio)), 1
     if 1 / ratio >= cycle - 1:

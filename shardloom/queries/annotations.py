@@ -184,9 +184,8 @@ def k_split_counts(spark, sf_dir):
 
 @kernel(f"WITH {ANN}, sizes AS (SELECT cat AS g, count(*) AS n FROM ann GROUP BY cat), {QUOTA} SELECT g AS cat, split, CAST(c AS BIGINT) AS n FROM spans")
 def k_allocate(spark, sf_dir):
-    sizes = [(r.cat, r.n) for r in ann_plain(spark, sf_dir).groupBy("cat").agg(F.count("*").alias("n")).collect()]
-    rows = [(c, s, n) for c, size in sizes for _, s, _, n in split.allocations([(c, size)], split.RATIOS)]
-    return spark.createDataFrame(rows, "cat int, split string, n long")
+    sizes = ann_plain(spark, sf_dir).groupBy("cat").agg(F.count("*").alias("n"))
+    return split.apportioned(sizes, "cat", "n").withColumnRenamed("count", "n")
 
 
 @kernel(f"WITH RECURSIVE {ANN}, sizes AS (SELECT cat AS g, count(*) AS n FROM ann GROUP BY cat), {CARRY} SELECT g AS cat, split, CAST(c AS BIGINT) AS n FROM spans")

@@ -137,12 +137,12 @@ def k_tile_grid(spark, sf_dir):
     return tile.grid(img(spark, sf_dir).where("w >= 1000"), "w", "h", (640, 640), 0.2).select("image_id", F.col("tile_x").cast("int").alias("tile_x"), F.col("tile_y").cast("int").alias("tile_y"), "tile_no")
 
 
-@kernel(f"""WITH {IMG}, {ANN}, big AS (SELECT * FROM img WHERE w >= 1000), c AS (SELECT image_id, w, h, unnest(range(0, w, 25)) AS x0 FROM big WHERE image_id % 8 = 0), r AS (SELECT *, unnest(range(0, h, 25)) AS y0 FROM c),
-t AS (SELECT image_id, greatest(0, least(x0, w - 32)) AS tx, greatest(0, least(y0, h - 32)) AS ty FROM r),
-j AS (SELECT image_id, tx, ty, x, y, bw, bh, cat, greatest(least(x + bw, tx + 32) - greatest(x, tx), 0) AS iw, greatest(least(y + bh, ty + 32) - greatest(y, ty), 0) AS ih FROM ann JOIN t USING (image_id)),
+@kernel(f"""WITH {IMG}, {ANN}, big AS (SELECT * FROM img WHERE w >= 1000), c AS (SELECT image_id, w, h, unnest(range(0, w, 512)) AS x0 FROM big), r AS (SELECT *, unnest(range(0, h, 512)) AS y0 FROM c),
+t AS (SELECT image_id, greatest(0, least(x0, w - 640)) AS tx, greatest(0, least(y0, h - 640)) AS ty FROM r),
+j AS (SELECT image_id, tx, ty, x, y, bw, bh, cat, greatest(least(x + bw, tx + 640) - greatest(x, tx), 0) AS iw, greatest(least(y + bh, ty + 640) - greatest(y, ty), 0) AS ih FROM ann JOIN t USING (image_id)),
 k AS (SELECT * FROM j WHERE iw > 0 AND ih > 0 AND iw * ih / (bw * bh) >= 0.3)
-SELECT image_id, cat, count(*) AS n, round_even(sum(iw / 32), 9) AS sum_w, round_even(sum(ih / 32), 9) AS sum_h, round_even(sum((greatest(x, tx) + least(x + bw, tx + 32)) / 2 - tx) / 32, 9) AS sum_cx FROM k GROUP BY image_id, cat""")
+SELECT image_id, cat, count(*) AS n, round_even(sum(iw / 640), 9) AS sum_w, round_even(sum(ih / 640), 9) AS sum_h, round_even(sum((greatest(x, tx) + least(x + bw, tx + 640)) / 2 - tx) / 640, 9) AS sum_cx FROM k GROUP BY image_id, cat""")
 def k_tile_labels(spark, sf_dir):
-    tiles = tile.grid(img(spark, sf_dir).where("w >= 1000 and image_id % 8 = 0"), "w", "h", (32, 32), 0.2).select("image_id", "tile_x", "tile_y")
-    held = tile.tile_labels(ann_plain(spark, sf_dir), tiles, "image_id", (32, 32), 0.3)
+    tiles = tile.grid(img(spark, sf_dir).where("w >= 1000"), "w", "h", (640, 640), 0.2).select("image_id", "tile_x", "tile_y")
+    held = tile.tile_labels(ann_plain(spark, sf_dir), tiles, "image_id", (640, 640), 0.3)
     return held.groupBy("image_id", "cat").agg(F.count("*").alias("n"), F.bround(F.sum("t_bw"), 9).alias("sum_w"), F.bround(F.sum("t_bh"), 9).alias("sum_h"), F.bround(F.sum("t_cx"), 9).alias("sum_cx"))

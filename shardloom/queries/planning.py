@@ -148,9 +148,9 @@ def k_batch_merge(spark, sf_dir):
     return shards.merged([held.where(F.col("conv_id") % 3 == k) for k in range(3)])
 
 
-@kernel("SELECT user_id, i AS index, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN user_id % 2 = 0 THEN i ELSE -i END) - 1 AS queue_position FROM (SELECT user_id, unnest(range(0, n)) AS i FROM (SELECT user_id, least(count(*), 9) AS n FROM events GROUP BY user_id))")
+@kernel("SELECT user_id, i AS index, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN user_id % 2 = 0 THEN i ELSE -i END) - 1 AS queue_position FROM (SELECT user_id, unnest(range(0, n)) AS i FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id))")
 def k_mock_records(spark, sf_dir):
-    held = table(spark, sf_dir, "events").groupBy("user_id").agg(F.least(F.count("*"), F.lit(9)).alias("n"))
+    held = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
     up = F.sequence(F.lit(0).cast("long"), F.col("n") - 1)
     return held.select("user_id", F.posexplode(F.when(F.col("user_id") % 2 == 0, up).otherwise(F.reverse(up))).alias("queue_position", "index")).select("user_id", "index", F.col("queue_position").cast("long").alias("queue_position"))
 

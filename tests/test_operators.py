@@ -78,8 +78,24 @@ def test_carry_keeps_totals_near_their_shares(sizes):
 
 
 def test_over_allocation_is_taken_back():
-    counts, _ = split.allocate(1, {"train": 0.5, "val": 0.5}, [2.0, 0.0])
-    assert sum(counts) == 1
+    # Due: 2.5 and 0.5; the ones left over go by remainder, ties to the first.
+    assert split.allocate(1, {"train": 0.5, "val": 0.5}, [2.0, 0.0])[0] == [1, 0]
+    # Due: 4.2, 3.1 and -3.3: seven for four; the least remainder is that of test, which has none, then that of val.
+    counts, owed = split.allocate(4, {"train": 0.5, "val": 0.25, "test": 0.25}, [2.2, 2.1, -4.3])
+    assert counts == [4, 0, 0] and owed == pytest.approx([0.2, 3.1, -3.3])
+    # Ties: the first of equal remainders gives first.
+    assert split.allocate(2, {"a": 0.5, "b": 0.5}, [2.0, 2.0])[0] == [0, 2]
+
+
+def test_apportioned_equals_allocate(spark):
+    sizes = [(k, n) for k, n in enumerate([0, 1, 2, 3, 7, 19, 20, 101, 999])]
+    got = {(r.g, r.split): r["count"] for r in split.apportioned(spark.createDataFrame(sizes, "g int, n long"), "g", "n").collect()}
+    assert got == {(g, s): c for g, n in sizes for s, c in zip(split.ordered(split.RATIOS), split.allocate(n, split.RATIOS)[0])}
+
+
+def test_a_ratio_that_is_not_positive_is_an_error():
+    with pytest.raises(ValueError, match="positive"):
+        partition.weights_of(0.0)
 
 
 def test_assigned_splits_each_class(spark):
