@@ -27,16 +27,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Cut the lineage: write df as Parquet to the shared folder and read it back, so that a lost executor costs no recomputation."""
-    return written_at(df, name)[0]
+    return written_at(df, name, codec)[0]
 
 
-def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written_at(df: DataFrame, name: str, codec: str = "snappy") -> tuple[DataFrame, str]:
     """The table of ``written`` and its folder, for ``discard``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/shardloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     if not _WRITTEN:
         atexit.register(clear)
     _WRITTEN[path] = spark
