@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -44,19 +45,58 @@ def ops(_: argparse.Namespace) -> int:
 
 
 def watch(args: argparse.Namespace) -> int:
+    """Run stage 1 when files arrive, and stage 2 when a trigger does and its labels are there.
+
+    Both stages run over the whole input, since duplicates, moments and splits
+    concern all of it; stage 2 starts from stage 1's state.
+    """
     from .pipeline import Job, run, template
-    from .streaming.ingest import Ingest, new_files
+    from .sinks import exists
+    from .streaming.ingest import Ingest, label_gate, labels_found, new_files, read_trigger
 
     spark = session()
-    steps = template(args.template)
+    first = template(args.template)
+    both = first + template(args.stage2_template)
+    asked: dict[int, float] = {}
 
     def stage1(files, batch):
-        print(f"batch {batch}: {files.count()} new files")
-        run(spark, Job(steps, args.input, args.output, args.labels))
-
-    ingest = Ingest(stage1, lambda trigger: run(spark, Job(template(trigger["template"]), args.input, args.output, trigger.get("label_path"))))
-    query = ingest.start(new_files(spark, args.input), f"{args.output}/_watch", args.once)
-    query.awaitTermination()
+        out = run(spark, Job(first, args.input, args.output, args.labels))
+        print(f"batch {batch}: {files.count()} new files, stage 1 {out['status']}")
+        return out["status"] == "completed"
+
+    def stage2(trigger):
+        if trigger.get("stage") != "stage2":
+            print(f"trigger ignored: {json.dumps(trigger)}")
+            return True
+        labels = trigger.get("label_path") or args.labels or f"{args.input}/../annotations"
+        since = asked.setdefault(id(trigger), time.monotonic())
+        choice = label_gate(labels_found(spark, labels), time.monotonic() - since, wait=args.wait is not None, timeout=args.wait or 0, placeholder=args.placeholder)
+        if choice == "wait":
+            return False
+        asked.pop(id(trigger))
+        if choice == "error":
+            print(f"stage 2 failed: no annotations in {labels}")
+            return True
+        out = run(spark, Job(both, args.input, args.output, labels, "placeholder" if choice == "placeholder" else "auto"))
+        print(f"stage 2 {out['status']}" + (", with placeholder labels" if choice == "placeholder" else ""))
+        return True
+
+    ingest = Ingest(stage1, stage2, exists(spark, f"{args.output}/_status/COMPLETED"))
+
+    def poll():
+        trigger = read_trigger(spark, args.triggers or f"{args.input}/_watcher")
+        if trigger is not None:
+            ingest.on_trigger(trigger)
+        else:
+            ingest.drain()
+
+    poll()
+    query = ingest.start(new_files(spark, args.input), f"{args.output}/_watch", args.once, "3 seconds")
+    if args.once:
+        query.awaitTermination()
+    while not args.once and not query.awaitTermination(2):
+        poll()
+    poll()
     return 0
 
 
@@ -95,6 +135,10 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("output")
         if name == "watch":
             p.add_argument("--once", action="store_true")
+            p.add_argument("--stage2-template", default="stage2_training_preparation")
+            p.add_argument("--triggers", help="folder of trigger.json; by default _watcher below the input")
+            p.add_argument("--wait", type=float, metavar="SECONDS", help="wait so long for labels, 0: for ever")
+            p.add_argument("--placeholder", action="store_true", help="without labels, go on with placeholders")
         if name == "verify":
             p.add_argument("batches", nargs="+")
             p.add_argument("--merged")

@@ -20,6 +20,7 @@ from ..storage import in_order, small, written
 from . import annotate, augment, deduplicate, normalize, quality, split, statistics, tile, validate
 
 IMAGE = "stem string, height int, width int, nChannels int, data binary"
+PLACEHOLDER = "placeholder"  # the class of labels that stand for missing ones
 REPORTED = 100  # rejects that a report lists
 
 
@@ -165,8 +166,24 @@ def _stems(state: PipelineState) -> DataFrame:
     return _having_files(state).files.select("stem").distinct()
 
 
+def _placeholders(state: PipelineState) -> tuple[PipelineState, dict[str, Any]]:
+    """The central half of each picture as a box of one class; not to be trained on."""
+    stems, transforms = _stems(state), _transforms(state)
+    half = {"w": F.lit(0.5), "h": F.lit(0.5)}
+    held = stems
+    if transforms is not None:  # half of the picture within its padding
+        held = stems.join(transforms.select("stem", "pad_x", "pad_y", "out_w", "out_h"), "stem", "left")
+        half = {s: F.round(F.coalesce(0.5 - F.col(f"pad_{a}") / F.col(f"out_{s}"), F.lit(0.5)), 6) for s, a in (("w", "x"), ("h", "y"))}
+    middle = (F.lit(0.5).alias(c) for c in ("cx", "cy"))
+    labels = written(held.select("stem", F.lit(0).alias("ord"), F.lit(0).alias("class_id"), *middle, *(v.alias(k) for k, v in half.items())), "labels")
+    out = {"source_format": "placeholder", "classes": 1, "class_names": [PLACEHOLDER], "warning": "placeholder labels, not to be trained on", "converted": labels.count()}
+    return state.having(labels=labels, annotated=written(stems, "annotated"), classes=(PLACEHOLDER,)), out
+
+
 @operator("convert_annotation", source_format=None, target_format="yolo")
 def run_convert_annotation(state, params):
+    if state.label_format == "placeholder":
+        return _placeholders(state)
     root = state.label_path or f"{state.input_path}/../annotations"
     kind = params["source_format"] or state.label_format
     found, document = annotations.detect(state.spark, root)

@@ -110,9 +110,12 @@ def run(spark: SparkSession, job: Job) -> dict[str, Any]:
             status.stage(i, "failed", error=str(error))
     if job.generate_data_yaml and state.assignments is not None:
         splits = [r.split for r in state.assignments.select("split").distinct().orderBy("split").collect()]
-        write_text(spark, f"{job.output_path}/data.yaml", data_yaml(state.classes, splits))
+        flag = "# placeholder labels, not to be trained on\n" if job.label_format == "placeholder" else ""
+        write_text(spark, f"{job.output_path}/data.yaml", flag + data_yaml(state.classes, splits))
     if not errors:
         delete(spark, f"{job.output_path}/_work")
     status.finish(bool(errors))
     out = {"job_id": job.job_id, "status": "failed" if errors else "completed", "elapsed_seconds": round(time.time() - began, 3), "results": results}
+    if job.label_format == "placeholder":
+        out["label_source"] = "placeholder"
     return out | ({"error": "; ".join(errors)} if errors else {})

@@ -6,6 +6,9 @@ new ones. Triggers queue until the first stage has run.
 
 from __future__ import annotations
 
+import json
+import threading
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -32,35 +35,39 @@ def debounced(files: DataFrame, quiet: str = "3 seconds") -> DataFrame:
 
 @dataclass
 class Ingest:
-    """Runs stage 1 on each batch of new files, and queued triggers for stage 2 after it."""
+    """Runs stage 1 on each batch of new files, and queued triggers for stage 2 after it.
 
-    stage1: Callable[[DataFrame, int], None]
-    stage2: Callable[[dict], None]
+    A stage that returns False has not done its work: stage 1 is not done then,
+    and a trigger for stage 2 stays in the queue.  A batch or trigger that comes
+    while another is at work waits for it.
+    """
+
+    stage1: Callable[[DataFrame, int], bool | None]
+    stage2: Callable[[dict], bool | None]
     done: bool = False
     queue: list[dict] = field(default_factory=list)
-    active: bool = False
+    lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
 
     def on_batch(self, files: DataFrame, batch: int) -> None:
-        if self.active or files.isEmpty():
+        if files.isEmpty():
             return
-        self.active = True
-        try:
-            self.stage1(files, batch)
-            self.done = True
-        finally:
-            self.active = False
+        with self.lock:
+            self.done = self.stage1(files, batch) is not False
         self.drain()
 
     def on_trigger(self, trigger: dict) -> bool:
         """Handle a trigger now if stage 1 is done, else queue it; tells which."""
-        self.queue.append(trigger)
-        return self.drain() > 0
+        with self.lock:
+            self.queue.append(trigger)
+            return self.drain() > 0
 
     def drain(self) -> int:
+        """Handle queued triggers for which the time has come: how many those were."""
         n = 0
-        while self.done and self.queue:
-            self.stage2(self.queue.pop(0))
-            n += 1
+        with self.lock:
+            while self.done and self.queue and self.stage2(self.queue[0]) is not False:
+                self.queue.pop(0)
+                n += 1
         return n
 
     def start(self, files: DataFrame, checkpoint: str, once: bool = False, every: str = "2 seconds") -> StreamingQuery:
@@ -75,3 +82,32 @@ def label_gate(present: bool, waited: float, *, wait: bool, timeout: float = 0,
     if wait and (timeout <= 0 or waited < timeout):
         return "wait"
     return "placeholder" if placeholder else "error"
+
+
+def _folder(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def read_trigger(spark: SparkSession, root: str) -> dict | None:
+    """The object in root's trigger.json, which moves to the folder archive; one that isn't whole yet stays, and gives None like a missing one."""
+    fs, top = _folder(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path(top, "trigger.json")
+    if not fs.exists(path):
+        return None
+    try:
+        held = json.loads(spark.read.option("wholetext", "true").text(path.toString()).first().value)
+    except (ValueError, AttributeError):  # cut off, or empty
+        return None
+    if not isinstance(held, dict):
+        return None
+    archive = spark._jvm.org.apache.hadoop.fs.Path(top, "archive")
+    fs.mkdirs(archive)
+    fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(archive, f"trigger_{time.time_ns()}.json"))
+    return held
+
+
+def labels_found(spark: SparkSession, root: str) -> bool:
+    """Whether a folder has an annotation file."""
+    fs, top = _folder(spark, root)
+    return fs.exists(top) and any(s.isFile() and s.getPath().getName().lower().endswith((".json", ".xml", ".txt")) for s in fs.listStatus(top))

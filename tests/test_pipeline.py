@@ -8,7 +8,7 @@ import pytest
 from shardloom import cli, pipeline
 from shardloom.functions import pixels
 from shardloom.registry import resolved
-from shardloom.streaming.ingest import Ingest, label_gate, new_files
+from shardloom.streaming.ingest import Ingest, label_gate, new_files, read_trigger
 from tests.fixtures import coco_dataset, picture
 
 
@@ -118,6 +118,47 @@ def test_ingest_sees_only_new_files_and_queues_triggers(spark, tmp_path):
     assert ingest.on_trigger({"stage": "again"}) is True
 
 
+def test_failed_stage_and_unready_trigger_stay(spark):
+    files, done, ready = spark.range(1), [], []
+    ingest = Ingest(lambda *_: bool(done), lambda _: bool(ready))
+    ingest.on_trigger({"stage": "stage2"})
+    ingest.on_batch(files, 0)  # stage 1 fails
+    assert not ingest.done and len(ingest.queue) == 1
+    done.append(1)
+    ingest.on_batch(files, 1)  # stage 2 waits for labels
+    assert ingest.done and len(ingest.queue) == 1
+    ready.append(1)
+    assert ingest.drain() == 1 and not ingest.queue
+
+
+def test_triggers_are_read_once(spark, tmp_path):
+    assert read_trigger(spark, str(tmp_path / "none")) is None
+    path = tmp_path / "trigger.json"
+    for text in ("", '{"stage": "st', "[1]"):
+        path.write_text(text)
+        assert read_trigger(spark, str(tmp_path)) is None and path.exists()
+    path.write_text('{"stage": "stage2"}')
+    assert read_trigger(spark, str(tmp_path)) == {"stage": "stage2"}
+    assert read_trigger(spark, str(tmp_path)) is None and len(list((tmp_path / "archive").iterdir())) == 1
+
+
+@pytest.mark.parametrize("labels", [True, False])
+def test_watch_runs_stage_2_after_stage_1(spark, tmp_path, capsys, labels):
+    coco_dataset(tmp_path, 4, labels=labels)
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    (raw / "images" / "_watcher").mkdir()
+    (raw / "images" / "_watcher" / "trigger.json").write_text(json.dumps({"stage": "stage2", "label_path": str(raw / "annotations")}))
+    assert cli.main(["watch", "--input", str(raw / "images"), "--output", str(out), "--once", "--placeholder"]) == 0
+    said = capsys.readouterr().out
+    assert said.index("4 new files, stage 1 completed") < said.index("stage 2 completed")
+    yaml = (out / "data.yaml").read_text()
+    assert ("placeholder" in said, "placeholder" in yaml) == (not labels, not labels)
+    lines = [p.read_text().split() for s in ("train", "val", "test") for p in (out / s / "labels").glob("img_*.txt")]
+    assert len(lines) == 4 and all(len(x) == 5 for x in lines)
+    if not labels:  # letterboxed: as wide as half of the picture, less high by the padding
+        assert all(float(x[1]) == float(x[2]) == 0.5 and max(float(x[3]), float(x[4])) == 0.5 for x in lines)
+
+
 @pytest.mark.parametrize("present,wait,timeout,waited,placeholder,want", [(True, False, 0, 0, False, "go"), (False, True, 0, 9e9, False, "wait"), (False, True, 5, 6, True, "placeholder"), (False, False, 0, 0, False, "error")])
 def test_label_gate(present, wait, timeout, waited, placeholder, want):
     assert label_gate(present, waited, wait=wait, timeout=timeout, placeholder=placeholder) == want
