@@ -21,13 +21,18 @@ from . import annotate, augment, deduplicate, normalize, quality, split, statist
 
 IMAGE = "stem string, height int, width int, nChannels int, data binary"
 PLACEHOLDER = "placeholder"  # the class of labels that stand for missing ones
-REPORTED = 100  # rejects that a report lists
+REPORTED = 100  # rejects that a report lists; _reports has all
 
 
 def _report(state: PipelineState, name: str, value: dict[str, Any]) -> None:
     write_json(state.spark, f"{state.output_path}/_work/{name}", value)
 
 
+def _listed(state: PipelineState, name: str, rows: DataFrame) -> None:
+    """All rows that a report lists the first of, as lines of JSON in name order."""
+    rows.orderBy("pos").drop("pos").write.mode("overwrite").json(f"{state.output_path}/_reports/{name}")
+
+
 def scanned(state: PipelineState) -> DataFrame:
     """All files with what one decode of each tells, written once."""
     files = sources.list_files(state.spark, state.input_path)
@@ -44,6 +49,7 @@ def run_validate(state, params):
     limits = validate.Limits(params["check_integrity"], tuple(params["min_resolution"]), params["max_file_size_mb"], tuple(params["allowed_formats"]))
     checked = written(files.withColumn("reason", validate.reason(*(F.col(c) for c in ("extension", "size", "width", "height")), limits)), "checked")
     counts = validate.report(checked).first().asDict()
+    _listed(state, "validation_invalid", checked.where("reason is not null").select("pos", F.col("name").alias("file"), "reason"))
     invalid = [{"file": r.name, "reason": r.reason} for r in checked.where("reason is not null").orderBy("pos").limit(REPORTED).collect()]
     _report(state, "validation_report.json", counts | {"invalid_files": invalid})
     return state.having(files=checked.where("reason is null").drop("reason")), counts
@@ -60,7 +66,8 @@ def run_deduplicate(state, params):
     if params["method"] == "md5":
         hashes = sources.file_hashes(state.spark, state.input_path).select(F.regexp_replace("path", "^file:/+", "/").alias("__p"), "md5")
         held = files.withColumn("__p", F.regexp_replace("path", "^file:/+", "/")).join(hashes, "__p").drop("__p")
-        kept = files.join(deduplicate.exact_firsts(held, "md5", "pos").select("pos"), "pos", "left_semi")
+        firsts = written(deduplicate.exact_firsts(held, "md5", "pos"), "firsts")
+        kept, leaders = files.join(firsts.select("pos"), "pos", "left_semi"), firsts.where("copies > 1")
         unhashable = 0
     else:
         n = math.ceil(params["hash_size"] ** 2 / 64)
@@ -70,25 +77,22 @@ def run_deduplicate(state, params):
         bits = [min(64, params["hash_size"] ** 2 - 64 * i) for i in range(n)]
         held = written(files.select("*", *(F.col("words")[i].alias(f"h{i}") for i in range(n))), "hashes")
         unhashable = held.where("h0 is null").count()
-        kept = deduplicate.near_kept(held, "pos", [f"h{i}" for i in range(n)], bits, params["threshold"]).select(*state.files.columns)
+        kept, leaders = deduplicate.near_walk(held, "pos", [f"h{i}" for i in range(n)], bits, params["threshold"])
+        kept = kept.select(*state.files.columns)
     kept = written(kept, "unique")
     unique = kept.count()
-    out = {"total": total, "unique": unique, "duplicates": total - unique, "duplicate_groups": total - unique and _groups(files, kept), "unhashable": unhashable}
+    out = {"total": total, "unique": unique, "duplicates": total - unique, "duplicate_groups": leaders.count(), "unhashable": unhashable}
     _report(state, "dedup_report.json", {"method": params["method"], "threshold": params["threshold"], "total_files": total, "unique_files": unique, "duplicates_removed": total - unique, "duplicate_groups": out["duplicate_groups"]})
     return state.having(files=kept), out
 
 
-def _groups(files: DataFrame, kept: DataFrame) -> int:
-    """Hashes that more than one file has, or at least one group if only near ones went."""
-    return max(1, files.where("words is not null").groupBy("words").agg(F.count("*").alias("n")).where("n > 1").count())
-
-
 @operator("filter_quality", min_blur_score=100, min_brightness=20, max_brightness=235, min_contrast=10)
 def run_filter_quality(state, params):
     state = state if state.files is not None else state.having(files=scanned(state))
     why = quality.reasons(F.col("blur"), F.col("brightness"), F.col("contrast"), quality.Thresholds(**params))
     judged = written(state.files.withColumn("reasons", F.when(F.col("blur").isNull(), "unreadable").otherwise(why)), "judged")
     counts = judged.agg(F.count("*").alias("total"), F.count_if(F.col("reasons") == "").alias("passed"), F.count_if(F.col("reasons") != "").alias("filtered")).first().asDict()
+    _listed(state, "quality_rejected", judged.where("reasons <> ''").select("pos", "name", "reasons", "blur", "brightness", "contrast"))
     rejects = [r.asDict() for r in judged.where("reasons <> ''").orderBy("pos").select("name", "reasons", "blur", "brightness", "contrast").limit(REPORTED).collect()]
     _report(state, "quality_report.json", counts | {"rejected": rejects})
     return state.having(files=judged.where("reasons = ''").drop("reasons")), counts
@@ -99,12 +103,12 @@ def run_resize(state, params):
     state = _having_files(state)
     (tw, th), method, kind, fill = params["target_size"], params["method"], params["interpolation"], params["padding_color"]
     raw = sources.decoded(state.spark, state.input_path).withColumn("__p", F.regexp_replace("origin", "^file:/+", "/"))
-    wanted = state.files.select(F.regexp_replace("path", "^file:/+", "/").alias("__p"), "stem")
+    wanted = state.files.select(F.regexp_replace("path", "^file:/+", "/").alias("__p"), "stem", "pos")
 
     def scale(batches):
         for batch in batches:
             out = []
-            for stem, h, w, n, data in zip(*(batch[c] for c in ("stem", "height", "width", "nChannels", "data"))):
+            for stem, pos, h, w, n, data in zip(*(batch[c] for c in ("stem", "pos", "height", "width", "nChannels", "data"))):
                 a = pixels.from_row(bytes(data), h, w, n)
                 if method == "letterbox":
                     b, t = pixels.letterbox(a, tw, th, kind, fill)
@@ -112,13 +116,14 @@ def run_resize(state, params):
                     b, t = pixels.center_crop(a, tw, th, kind)
                 else:
                     b, t = pixels.stretch(a, tw, th, kind)
-                out.append((stem, th, tw, 3, b.tobytes(), t["scale_x"], t["scale_y"], t["pad_x"], t["pad_y"], w, h))
-            yield pd.DataFrame(out, columns=["stem", "height", "width", "nChannels", "data", "scale_x", "scale_y", "pad_x", "pad_y", "orig_w", "orig_h"])
+                out.append((stem, th, tw, 3, b.tobytes(), t["scale_x"], t["scale_y"], t["pad_x"], t["pad_y"], w, h, pos))
+            yield pd.DataFrame(out, columns=["stem", "height", "width", "nChannels", "data", "scale_x", "scale_y", "pad_x", "pad_y", "orig_w", "orig_h", "pos"])
 
-    schema = f"{IMAGE}, scale_x double, scale_y double, pad_x double, pad_y double, orig_w int, orig_h int"
-    done = written(raw.join(small(wanted), "__p").select("stem", "height", "width", "nChannels", "data").mapInPandas(scale, schema), "resized")
-    done = done.dropDuplicates(["stem"])
+    schema = f"{IMAGE}, scale_x double, scale_y double, pad_x double, pad_y double, orig_w int, orig_h int, pos long"
+    done = written(raw.join(small(wanted), "__p").select("stem", "pos", "height", "width", "nChannels", "data").mapInPandas(scale, schema), "resized")
     sizes = done.agg(F.count("*").alias("n"), F.avg("orig_w").alias("w"), F.avg("orig_h").alias("h")).first()
+    last = written(done.groupBy("stem").agg(F.max("pos").alias("pos")), "stems")  # files of one stem have one output, the last one's
+    done = done.join(small(last), ["stem", "pos"], "left_semi")
     total = state.files.count()
     transforms = done.select("stem", F.lit(method).alias("mode"), "scale_x", "scale_y", "pad_x", "pad_y", "orig_w", "orig_h", F.lit(tw).alias("out_w"), F.lit(th).alias("out_h"))
     transforms.write.mode("overwrite").parquet(f"{state.output_path}/_work/transforms")

@@ -15,11 +15,14 @@ from shardloom.streaming import telemetry
 
 
 def greedy(hashes, threshold):
-    kept = []
+    kept, led = {}, set()
     for o, h in sorted(hashes):
-        if all(bin(h ^ g).count("1") > threshold for _, g in kept):
-            kept.append((o, h))
-    return [o for o, _ in kept]
+        near = [p for p, g in kept.items() if bin(h ^ g).count("1") <= threshold]
+        if near:
+            led.add(near[0])
+        else:
+            kept[o] = h
+    return list(kept), sorted(led)
 
 
 @pytest.mark.parametrize("seed,threshold", [(1, 3), (2, 6), (3, 12)])
@@ -29,8 +32,8 @@ def test_near_kept_is_the_greedy_walk(spark, seed, threshold):
     rows = [(i, rng.choice(base) ^ sum(1 << rng.randrange(62) for _ in range(rng.randint(0, 6))) & (2**62 - 1)) for i in range(60)]
     rows += [(100 + i, rows[0][1]) for i in range(20)]  # a group of copies
     df = spark.createDataFrame(rows, "o long, h long")
-    got = sorted(r.o for r in deduplicate.near_kept(df, "o", ["h"], [62], threshold).collect())
-    assert got == greedy(rows, threshold)
+    kept, leaders = deduplicate.near_walk(df, "o", ["h"], [62], threshold)
+    assert (sorted(r.o for r in kept.collect()), sorted(r.o for r in leaders.collect())) == greedy(rows, threshold)
 
 
 @pytest.mark.parametrize("walked", [0, 100])

@@ -7,7 +7,7 @@ import pytest
 
 from shardloom import cli, pipeline
 from shardloom.functions import pixels
-from shardloom.registry import resolved
+from shardloom.registry import OPERATORS, PipelineState, resolved
 from shardloom.streaming.ingest import Ingest, label_gate, new_files, read_trigger
 from tests.fixtures import coco_dataset, picture
 
@@ -37,7 +37,9 @@ def test_both_stages_end_to_end(spark, dataset):
     assert out["status"] == "completed", out
     by = {r["op"]: r["metrics"] for r in out["results"]}
     assert by["validate"] == {"total_scanned": 16, "valid": 13, "invalid": 3}
-    assert (by["deduplicate"]["unique"], by["deduplicate"]["duplicates"]) == (11, 2)
+    assert tuple(by["deduplicate"][k] for k in ("unique", "duplicates", "duplicate_groups")) == (11, 2, 2)
+    listed = [json.loads(x)["file"] for p in (dataset / "out" / "_reports" / "validation_invalid").glob("part*") for x in p.read_text().splitlines()]
+    assert sorted(listed) == ["broken.png", "empty.png", "tiny.png"]
     assert by["filter_quality"] == {"total": 11, "passed": 10, "filtered": 1}
     assert by["resize"]["resized"] == 10 and by["normalize"]["images_processed"] == 10
     assert by["convert_annotation"]["class_names"] == ["object", "thing"] and by["convert_annotation"]["converted"] == 10
@@ -95,7 +97,18 @@ def test_voc_and_tiles(spark, tmp_path):
 def test_md5_and_center_crop_template(spark, dataset):
     steps = [{"op": "validate"}, {"op": "deduplicate", "params": {"method": "md5"}}, {"op": "resize", "params": {"target_size": [32, 32], "method": "center_crop"}}]
     out = pipeline.run(spark, job(dataset, steps))
-    assert out["results"][1]["metrics"]["duplicates"] == 1 and out["results"][2]["metrics"]["resized"] == 12
+    assert out["results"][1]["metrics"]["duplicates"] == out["results"][1]["metrics"]["duplicate_groups"] == 1 and out["results"][2]["metrics"]["resized"] == 12
+
+
+def test_of_files_with_one_stem_the_last_is_resized(spark, tmp_path):
+    for folder, i in (("a", 0), ("b", 1), ("c", 2)):
+        (tmp_path / "raw" / "images" / folder).mkdir(parents=True)
+        (tmp_path / "raw" / "images" / folder / "same.png").write_bytes(pixels.png(picture(i)))
+    state = PipelineState(spark, str(tmp_path / "raw" / "images"), str(tmp_path / "out"))
+    state, m = OPERATORS["resize"](state, resolved("resize", {"target_size": [64, 64]}))
+    assert (m["total"], m["resized"], m["errors"]) == (3, 3, 0)
+    assert [(r.stem, r.orig_w) for r in state.transforms.collect()] == [("same", picture(2).shape[1])]
+    assert state.images.count() == 1
 
 
 def test_manifest_round_trip(tmp_path):
