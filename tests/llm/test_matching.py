@@ -2,14 +2,17 @@
 
 import hashlib
 import itertools
+import pathlib
 import random
 import string
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from shardloom.llm import components, decontam, jaccard, line_dedup, queries, substring
+from shardloom.llm import common, components, decontam, jaccard, line_dedup, queries, substring
 from shardloom.llm.common import LOWER_AZ
 
 
@@ -70,6 +73,17 @@ def near_group(rng, n, words=60, edits=6):
     return out
 
 
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    files = lambda: {p for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs() for p in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
+    before = files()
+    table = common.written(spark.range(50_000).groupBy((F.col("id") % 10_000).alias("k")).agg(F.count("*").alias("n")), "counts")
+    for _ in range(50):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and table.count() == 10_000
+
+
 def test_jaccard_join_on_groups_near_the_threshold(spark):
     rng = random.Random(0)
     texts = [t for _ in range(10) for t in near_group(rng, 20)]
