@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HOT_ROWS, Words, id_text, joined_by_key, ngram_hashes, release_memory, small, tidy, written
+from .common import HOT_ROWS, Words, discard, id_text, joined_by_key, ngram_hashes, release_memory, small, tidy, written, written_at
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
@@ -154,26 +154,13 @@ def divide_skip(sets: list[np.ndarray], percent: int, side: np.ndarray | None =
     return links
 
 
-def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """row, doc_id, n_shingles, component_id (smallest doc_id reachable by links) and component_row (its row) for every row of docs.
-
-    Rows are numbered by monotonically_increasing_id().
-    """
-    rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
-    level = written(_profiles(rows, n, percent), "profiles")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    classes = level.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("members"))
-    classes = written(classes.select("d1", "d2", "members", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_id")), "classes")
-    # Rows that aren't the first of their class; few of many, so that this join can be small.
-    more = level.where("n > 0").select("row").join(classes.select(F.col("first_row").alias("row")), "row", "left_anti")
-    firsts = level.where("n > 0").select("row", "n", "prefix").join(small(written(more, "copies")), "row", "left_anti")
-
-    tokens = firsts.select("row", F.explode("prefix").alias("token"))
+def blocked(tokens: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """row, n and block of the rows that share enough of their tokens (row, token), each a prefix of its set, with others; n as in sizes."""
     often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = written(tokens.join(often, "token"), "shared")
     least = F.ceil(F.col("n") * percent / 100)
     enough = F.greatest(F.lit(1), F.floor(least * SLACK / 100))
-    active = shared.groupBy("row").agg(F.count("*").alias("shared")).join(level.select("row", "n"), "row").where(F.col("shared") >= enough)
+    active = shared.groupBy("row").agg(F.count("*").alias("shared")).join(sizes, "row").where(F.col("shared") >= enough)
     active = written(active.select("row", "n"), "active")
     held = shared.join(small(active.withColumn("spare", F.floor((enough - 1) / 2)).select("row", "spare")), "row")
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("df"), "token"))  # within a document
@@ -184,16 +171,52 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
     least = part.groupBy("token").agg(F.min("b").alias("least"), F.sum("m").alias("df")).where("df > 1").select("token", "least")
     pivot = written(part.join(least, "token").select("token", "salt", "b", "least"), "pivot")
     edges = held.join(pivot, ["token", "salt"]).select(F.col("row").alias("a"), "b").union(pivot.select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()
-    blocks = written(active.join(components(edges), F.col("row") == F.col("node")).select("row", "n", F.col("root").alias("block")), "blocks")
+    return written(active.join(components(edges), F.col("row") == F.col("node")).select("row", "n", F.col("root").alias("block")), "blocks")
+
+
+def rarest(listed: DataFrame, percent: int) -> DataFrame:
+    """(row, token): of each set (row, n, shingles) the prefix in order of how many of these sets hold a shingle, the rarest first."""
+    tokens = listed.select("row", "n", F.explode("shingles").alias("token"))
+    held_by = written(tokens.groupBy("token").agg(F.count("*").alias("sets")), "held-by")
+    counted = joined_by_key(tokens, held_by.withColumn("rows", F.col("sets")), ["token"], "rows")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy("sets", "token"))  # within a document
+    length = F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * percent / 100) + F.greatest(F.lit(1), F.floor(F.col("n") * SLACK / 100)))
+    return written(counted.withColumn("rank", rank).where(F.col("rank") <= length).select("row", "token"), "rarest")
+
+
+def planned(blocks: DataFrame, block_tokens: int) -> DataFrame:
+    """row, n, block, chunks of the block, and the row's own chunk, for rows of blocks that have others."""
     total = written(blocks.groupBy("block").agg(F.sum("n").alias("total"), F.count("*").alias("members")).where("members > 1"), "totals")
-    half = max(1, block_tokens // 2)
-    plan = joined_by_key(blocks, total, ["block"], "members").withColumn("chunks", F.when(F.col("total") <= block_tokens, 1).otherwise(F.ceil(F.col("total") / half)).cast("int"))
-    plan = written(plan.withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")).select("row", "n", "block", "chunks", "chunk"), "plan")
+    plan = joined_by_key(blocks, total, ["block"], "members")
+    plan = plan.withColumn("chunks", F.when(F.col("total") <= block_tokens, 1).otherwise(F.ceil(F.col("total") / max(1, block_tokens // 2))).cast("int"))
+    return written(plan.withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")).select("row", "n", "block", "chunks", "chunk"), "plan")
+
+
+def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """row, doc_id, n_shingles, component_id (smallest doc_id reachable by links) and component_row (its row) for every row of docs.
+
+    Rows are numbered by monotonically_increasing_id().
+    """
+    rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
+    level = written(_profiles(rows, n, percent), "profiles")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    classes = level.where("n > 0").groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("members"))
+    classes = written(classes.select("d1", "d2", "members", F.col("first.row").alias("first_row"), F.col("first.doc_id").alias("first_id")), "classes")
+    # Rows that aren't the first of their class; few of many, so that this join can be small.
+    more = level.where("n > 0").select("row").join(classes.select(F.col("first_row").alias("row")), "row", "left_anti")
+    firsts = level.where("n > 0").select("row", "n", "prefix").join(small(written(more, "copies")), "row", "left_anti")
+
+    blocks = blocked(firsts.select("row", F.explode("prefix").alias("token")), level.select("row", "n"), percent)
+    plan = planned(blocks, block_tokens)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.drop(columns=["text"]).assign(shingles=[s.astype(np.int64) for s in shingles(batch["text"], n)])
 
+    def sets_of(dealt: DataFrame) -> DataFrame:
+        wanted = rows.select("row", "text").join(small(dealt), "row").select("row", "text", "n", "block", "chunks", "chunk")
+        return wanted.mapInPandas(tidy(sets), "row long, n long, block long, chunks int, chunk int, shingles array<long>")
+
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("row")
         held = [np.asarray(x, np.int64).view(np.uint64) for x in frame["shingles"]]
@@ -208,10 +231,16 @@ def linked(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block_toke
         """Links within (block, i, i) and across (block, i, j)."""
         return dealt.select("row", "block", "chunk", "pair.i", "pair.j", "shingles").groupBy("block", "i", "j").applyInPandas(search, "a long, b long")
 
+    half = max(1, block_tokens // 2)
     pair = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
-    wanted = rows.select("row", "text").join(small(plan), "row").select("row", "text", "n", "block", "chunks", "chunk")
-    full = wanted.mapInPandas(tidy(sets), "row long, n long, block long, chunks int, chunk int, shingles array<long>")
     large = plan.where("chunks > 1")
+    if not large.isEmpty():
+        listed, path = written_at(sets_of(large).select("row", "n", "shingles"), "large")
+        parts = planned(blocked(rarest(listed, percent), listed.select("row", "n"), percent), block_tokens)
+        discard(docs.sparkSession, path)
+        plan = written(plan.where("chunks = 1").unionByName(parts), "plan")
+        large = plan.where("chunks > 1")
+    full = sets_of(plan)
     if large.isEmpty():
         links = searched(full.withColumn("pair", pair(F.lit(0), F.lit(0))))
     else:

@@ -73,6 +73,18 @@ def near_group(rng, n, words=60, edits=6):
     return out
 
 
+def test_texts_that_share_common_phrases_make_no_large_block(spark, monkeypatch):
+    rng = random.Random(4)
+    phrases = [" ".join(f"p{i}w{j}" for j in range(6)) for i in range(10)]
+    texts = [" ".join([*(rng.choice(phrases) + f" own{k}x{j}" for j in range(3)), f"last{k}"]) for k in range(200)]
+    texts += [t + " more" for t in texts[:20]]  # links of which none is lost
+    compared, real = {}, jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name, *a: compared.setdefault(name, real(df, name, *a)) if name == "rest" else real(df, name, *a))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert got_components(jaccard.linked(frame, block_tokens=500)) == brute_components(list(enumerate(texts)))
+    assert "rest" not in compared or compared["rest"].count() < 60  # else each is compared with all others
+
+
 def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
     files = lambda: {p for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs() for p in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
     before = files()
