@@ -51,6 +51,24 @@ def test_near_kept_follows_a_chain_not_components(spark):
     assert sorted(r.o for r in deduplicate.near_kept(df, "o", ["h"], [62], 3).collect()) == [0, 2]
 
 
+def test_wide_thresholds_compare_blocks_and_walk_in_steps(spark, monkeypatch):
+    # Bands of three bits would join most rows with most others.
+    monkeypatch.setattr(deduplicate, "STEP_ROWS", 400)
+    monkeypatch.setattr(deduplicate, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(deduplicate, "bands", lambda *a: pytest.fail("joined on bands that select nothing"))
+    rng = random.Random(9)
+    rows = [(f"f{i}", rng.getrandbits(56)) for i in range(1_000)]
+    rows += [(f"g{i}", rows[i][1] ^ sum(1 << rng.randrange(56) for _ in range(9))) for i in range(100)]
+    rows += [(f"h{i}", rows[i][1]) for i in range(20)] + [("null", None), (None, 5)]
+    df = spark.createDataFrame(rows, "o string, h long")
+    given = [r for r in rows if None not in r]
+    kept, leaders = deduplicate.near_walk(df, "o", ["h"], [56], 14)
+    assert (sorted(r.o for r in kept.collect()), sorted(r.o for r in leaders.collect())) == tuple(sorted(x) for x in greedy(given, 14))
+    got = sorted((r.a, r.b, r.distance) for r in deduplicate.near_pairs(df, "o", ["h"], [56], 14).collect())
+    far = lambda x, y: bin(x[1] ^ y[1]).count("1")
+    assert got == sorted((*sorted((x[0], y[0])), far(x, y)) for x, y in itertools.combinations(given, 2) if far(x, y) <= 14)
+
+
 def test_near_pairs_over_words_equals_brute_force(spark):
     rng = random.Random(5)
     rows = [(i, rng.getrandbits(62), rng.getrandbits(63)) for i in range(8)]
