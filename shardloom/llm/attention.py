@@ -159,15 +159,16 @@ def gradients(w: dict[str, np.ndarray], before: np.ndarray, own: np.ndarray, led
     return float(loss), grad
 
 
-def descended(w: dict[str, np.ndarray], texts: list[np.ndarray], rng: np.random.Generator, steps: int, batch: int, rate: float) -> None:
-    """Adam on w, in place, over the windows of texts of model ids; the first id of each is its context only."""
+def descended(w: dict[str, np.ndarray], texts: list[np.ndarray], rng: np.random.Generator, steps: int, batch: int, rate: float, once: bool = False) -> None:
+    """Adam on w, in place, over the windows of texts of model ids; the first id of each is its context only.  With ``once`` each window is taken once, else they are drawn."""
     ids = np.concatenate(texts)
     lengths = np.asarray([len(x) - 1 for x in texts])
     starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
     place, led, _ = blocks_of(ids, starts, lengths)
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    order = rng.permutation(len(place)) if once else None
     for step in range(1, steps + 1):
-        pick = rng.integers(0, len(place), batch)
+        pick = order[(step - 1) * batch : step * batch] if once else rng.integers(0, len(place), batch)
         at = place[pick]
         counted = at >= 0
         at = np.maximum(at, 0)
@@ -200,11 +201,11 @@ def trained(sample: list[np.ndarray], n_ids: int, end: int, steps: int = 700, ba
     return Model(w, known, rare)
 
 
-def refined(w: dict[str, np.ndarray], texts: list[np.ndarray], batch: int = 128, rate: float = 0.004) -> tuple[dict[str, np.ndarray], int]:
-    """Copy of w after about one pass over pieces of texts given as model ids, and the number of blocks it had."""
+def refined(w: dict[str, np.ndarray], texts: list[np.ndarray], batch: int = 256, rate: float = 0.004) -> tuple[dict[str, np.ndarray], int]:
+    """Copy of w after one pass over texts given as model ids, and the number of blocks they have."""
     w = {k: v.copy() for k, v in w.items()}
     blocks = sum(-(-(len(x) - 1) // BLOCK) for x in texts)
-    descended(w, texts, np.random.default_rng(blocks), -(-blocks // batch), batch, rate)
+    descended(w, texts, np.random.default_rng(blocks), -(-blocks // batch), batch, rate, once=True)
     return w, blocks
 
 

@@ -5,11 +5,10 @@ The base counts the words of all training documents exactly.  Each chunk of
 documents lists its distinct words once and writes its texts as numbers; counts
 are aggregated over all chunks and joined back to the chunks, so a word that every
 document holds costs one row a chunk, and no vocabulary is broadcast.  The subword ids of all training
-documents are counted in the same scan, and pieces are drawn from anywhere in
-them: all pieces of a small corpus, a fixed share of a large one, so that what
-the attention model learns from grows with the input.  The model is begun on the
-driver with some of the pieces; then parts of all pieces each descend from there
-and the weights are averaged.  Every document is scored as a whole, in
+documents are counted in the same scan.  The attention model is begun on the
+driver with pieces drawn from anywhere in them; from there it learns from every
+block of every training document: the chunks' texts descend in parts, each block
+once, and the weights are averaged.  Every document is scored as a whole, in
 overlapping windows that score each token once.  Its tokens are the subword ids
 of each word with a space before it, and one end id.  A word's probability is the
 mean of what attention gives its subwords and of its share in the counts, so the
@@ -36,14 +35,14 @@ from .packing import Encoder
 
 #: Documents of a chunk, by the bytes of their texts: (below, documents), so that a chunk has about 100 MB at most; of longer texts each is one.
 CHUNKS = ((1 << 14, 6_000), (1 << 18, 400), (1 << 22, 24))
-#: Words that are scored at a time, or one text if it has more.
+#: Words that are scored or learned from at a time, or one text if it has more.
 PART_WORDS = 300_000
 #: The share of the attention model in a word's probability; the corpus's word counts have the rest.
 ATTENDED = 0.5
-#: Words of a piece, and the share of all pieces drawn at least; a corpus of up to ALL_DOCS documents gives all.
+#: Words of a piece, and the share of all pieces drawn for the beginning at least; a corpus of up to ALL_DOCS documents gives all.
 PIECE_WORDS, SHARE, ALL_DOCS = 96, 1 / 64, 2_000
-#: Pieces that the model is begun with on the driver, and pieces of a part that descends by itself.
-BEGIN_PIECES, PART_PIECES = 8_000, 2_000
+#: Pieces that the model is begun with on the driver.
+BEGIN_PIECES = 8_000
 END = 0
 #: What a row of the first scan holds: a word of a chunk, a count of a subword id, a piece, or a chunk's texts as numbers.
 WORD, ID, PIECE, TEXTS = range(4)
@@ -182,7 +181,7 @@ def chunk_words(rows: DataFrame, path: str, pattern: str, share: float) -> DataF
 
 
 def fitted(listed: DataFrame, n_ids: int, ends: int) -> attention.Model:
-    """The attention model, with the counts and fitted on the pieces that chunk_words() lists; ``ends`` training documents."""
+    """The attention model, with the counts, begun with pieces and fitted on all training texts that chunk_words() lists; ``ends`` training documents."""
     counts = np.zeros(n_ids, np.int64)
     for r in listed.where(F.col("kind") == ID).groupBy("word").agg(F.sum("n").alias("n")).collect():  # a row for each id at most
         counts[r.word] = r.n
@@ -193,29 +192,59 @@ def fitted(listed: DataFrame, n_ids: int, ends: int) -> attention.Model:
     few = pieces.where(F.pmod("h", F.lit(2**20)) < int(2**20 * min(1.0, 1.1 * BEGIN_PIECES / max(1, n_pieces))))  # else each task sends so many
     begin = [array(r.ids) for r in few.orderBy("h", "ids").limit(BEGIN_PIECES).collect()]
     model = attention.trained(begin, n_ids, END, counts=counts)
-    parts = -(-n_pieces // PART_PIECES)
-    if not parts:
-        return model
     names = sorted(model.weights)
     shared = listed.sparkSession.sparkContext.broadcast((model.weights, model.known))  # of fixed size
 
-    def descend(frame: pd.DataFrame) -> pd.DataFrame:
+    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights, known = shared.value
-        found, blocks = attention.refined(weights, [known[array(ids)] for ids in frame.sort_values(["h", "ids"])["ids"]])
-        release_memory()
-        return pd.DataFrame({"part": int(frame["part"].iloc[0]), "name": names, "blocks": blocks, "weights": [found[k].astype("<f8").ravel() * blocks for k in names]})
+        total, blocks, first = {k: np.zeros(v.size) for k, v in weights.items()}, 0, None
+        for batch in batches:
+            for held in batch.itertuples(index=False):
+                first = held.chunk if first is None else first
+                for texts in training(held, known):
+                    found, n = attention.refined(weights, texts)
+                    blocks += n
+                    for k in names:
+                        total[k] += found[k].ravel().astype(np.float64) * n
+        if blocks:
+            yield pd.DataFrame({"part": first, "name": names, "blocks": blocks, "weights": [total[k] for k in names]})
 
     def mean(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum(np.stack(frame.sort_values("part")["weights"].to_list()), axis=0) / frame["blocks"].sum()
-        return pd.DataFrame({"name": [frame["name"].iloc[0]], "weights": [total]})
+        total = 0.0
+        for w in frame.sort_values("part")["weights"]:
+            total = total + w
+        return pd.DataFrame({"name": [frame["name"].iloc[0]], "weights": [total / frame["blocks"].sum()]})
 
-    part = F.pmod(F.col("h"), F.lit(parts)).alias("part")
-    found = pieces.select("ids", "h", part).groupBy("part").applyInPandas(descend, "part long, name string, blocks long, weights array<double>")
+    texts = listed.where(F.col("kind") == TEXTS).select("chunk", "ids", "length", "place", "sizes", "held_out")
+    found = texts.mapInPandas(tidy(descend), "part long, name string, blocks long, weights array<double>")
     averaged = found.groupBy("name").applyInPandas(mean, "name string, weights array<double>").collect()  # of fixed size
+    if not averaged:
+        return model
     weights = {r.name: np.asarray(r.weights, np.float32).reshape(model.weights[r.name].shape) for r in averaged}
     return attention.Model(weights, model.known, model.rare)
 
 
+def training(held, known: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """All training documents of a chunk as model ids, led and closed by the end id, in parts of about PART_WORDS words."""
+    ids, length, place, sizes = (unpacked(x) for x in (held.ids, held.length, held.place, held.sizes))
+    ids, length = known[ids], length.astype(np.int64)
+    start, end = np.cumsum(length) - length, known[END : END + 1]
+    part, words, hi = [], 0, 0
+    for size, held_out in zip(sizes.tolist(), held.held_out):
+        lo, hi = hi, hi + size
+        if held_out:
+            continue
+        n = length[place[lo:hi]]
+        at = np.repeat(start[place[lo:hi]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        part.append(np.concatenate([end, ids[at], end]))
+        words += size
+        if words >= PART_WORDS:
+            yield part
+            part, words = [], 0
+    if part:
+        yield part
+
+
 class Scorer:
     """Scores the documents of a chunk, given as numbers, and the counts of the chunk's words."""
 

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -60,6 +61,28 @@ def test_lm_draws_pieces_from_anywhere():
     assert lm.drawn(7, 9_600, 1.0) == list(range(0, 9_600, 96)) and lm.drawn(7, 0, 1.0) == [0]
 
 
+
+def test_the_model_learns_from_texts_of_which_no_piece_was_drawn(spark):
+    frame = spark.createDataFrame([(i, f"the same few words again and again {i % 7} " * 20) for i in range(60)], "doc_id long, text string")
+    path, pattern = queries.tokenizer()
+    every = lm.written(lm.chunk_words(lm.chunked(frame), path, pattern, 0.0), "chunk-words")
+    assert every.where(f"kind = {lm.PIECE}").isEmpty()
+    model = lm.fitted(every, lm.Encoder(path, pattern).encoding.n_vocab, 50)
+    before = attention.initial(np.random.default_rng(0))
+    assert all((model.weights[k] != before[k]).any() for k in ("E", "Q", "W1", "M"))
+
+
+def test_training_takes_every_block_of_every_training_text_once(monkeypatch):
+    monkeypatch.setattr(lm, "PART_WORDS", 3)
+    held = SimpleNamespace(ids=lm.packed(np.asarray([5, 6, 7])), length=lm.packed(np.asarray([1, 2])), place=lm.packed(np.asarray([0, 1, 1, 0, 0])), sizes=lm.packed(np.asarray([2, 1, 0, 2])), held_out=[False, True, False, False])
+    parts = list(lm.training(held, np.arange(10, dtype=np.int32)))
+    assert [[x.tolist() for x in p] for p in parts] == [[[0, 5, 6, 7, 0], [0, 0], [0, 5, 5, 0]]]
+    seen, real = [], attention.gradients
+    monkeypatch.setattr(attention, "gradients", lambda w, before, own, led, target, counted: seen.extend(target[counted].tolist()) or real(w, before, own, led, target, counted))
+    texts = [np.arange(k, k + 40, dtype=np.int32) for k in (0, 100, 200)]
+    _, blocks = attention.refined(attention.initial(np.random.default_rng(0)), texts, batch=2)
+    assert blocks == 9 and sorted(seen) == sorted(x for t in texts for x in t[1:].tolist())
+
 def test_lm_on_odd_rows(spark, odd, empty):
     docs = [(r.doc_id, r.text or "") for r in odd.collect()]
     check_scores(lm.scored(odd, *queries.tokenizer(), chunks=((300, 2), (5_000, 3))).collect(), docs)
