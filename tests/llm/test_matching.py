@@ -151,6 +151,18 @@ def test_components_of_random_graphs(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_take_few_tables_and_many_the_same_roots(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = [(rng.randrange(-200, 200), rng.randrange(-200, 200)) for _ in range(150)] + [(300 + (i * 37) % 101, 300 + (i * 37 + 37) % 101) for i in range(90)]
+    frame, names, real = spark.createDataFrame(edges, "a long, b long"), [], common.written_at
+    monkeypatch.setattr(components, "written_at", lambda df, name: names.append(name) or real(df, name))
+    monkeypatch.setattr(components, "written", lambda df, name: components.written_at(df, name)[0])
+    few = {tuple(r) for r in components.components(frame).collect()}
+    assert len(names) == 2  # the edges and their roots
+    monkeypatch.setattr(components, "FEW_EDGES", 0)
+    assert {tuple(r) for r in components.components(frame).collect()} == few and len(names) > 6
+
+
 def brute_substrings(docs, width=20):
     """docs in order; (id, n words, n removed, digest of the kept)."""
     seen, out = set(), []
