@@ -22,6 +22,8 @@ BLOCK, WIDTH, HIDDEN, GROUPS, MEMBERS = 16, 16, 32, 32, 32
 RARE = 0
 #: The power that stands for the exponential, and the least base it is taken of.
 POWER, LEAST = 16, 0.05
+#: Windows, and rows of outputs, whose gradients are taken at a time.
+CACHED, CACHED_ROWS = 96, 1_024
 
 
 def _visible() -> np.ndarray:
@@ -37,6 +39,14 @@ def _powered(u: np.ndarray) -> np.ndarray:
     return u
 
 
+def _squared(u: np.ndarray) -> np.ndarray:
+    """u ** POWER."""
+    p = np.square(u)
+    for _ in range(POWER.bit_length() - 2):
+        np.square(p, out=p)
+    return p
+
+
 @dataclass
 class Model:
     """Weights, the model id of each subword id, and log10 P(id | rare)."""
@@ -92,71 +102,119 @@ def initial(rng: np.random.Generator) -> dict[str, np.ndarray]:
     }
 
 
-def _shares(x: np.ndarray, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of each row that its logits give (none where unseen), and what the logarithm of each power gains with its logit."""
-    u = np.maximum(1 + x / POWER, LEAST)
-    p = _powered(u.copy())
-    if seen is not None:
-        p *= seen
-    return p / p.sum(axis=-1, keepdims=True), 1 / u
-
-
 def _logits(shares: np.ndarray) -> np.ndarray:
     """Logits that give these shares of each row; the greatest one is 0."""
     return (POWER * ((shares / shares.max(axis=-1, keepdims=True)) ** (1 / POWER) - 1)).astype(np.float32)
 
 
 def gradients(w: dict[str, np.ndarray], before: np.ndarray, own: np.ndarray, led: np.ndarray, target: np.ndarray, counted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss in nats and its gradient over a batch of windows."""
+    """Mean loss in nats and its gradient over a batch of windows.
+
+    Attention takes CACHED windows at a time and the outputs CACHED_ROWS, so that
+    what one pass makes is still in a processor's cache for the next.
+    """
     b, d = len(own), WIDTH
-    near = _visible()
+    near, root, kind = _visible(), np.sqrt(d).astype(w["E"].dtype), w["E"].dtype
+    seen, bias, ones = (near >= 0).astype(kind), (1 + w["near"][np.clip(near, 0, None)] / POWER).astype(kind), np.ones(max(b, 2 * BLOCK), kind)
+    by_id = np.concatenate([w["E"] @ w["Q"] / (root * POWER), w["E"] @ w["K"], w["E"] @ w["V"]], axis=1)
+    of_query, of_key = np.ascontiguousarray(by_id[:, :d]), np.ascontiguousarray(by_id[:, d:])
     keys = np.concatenate([before, own], axis=1)
-    x, y = w["E"][own], w["E"][keys]
-    q, k, v = x @ w["Q"], y @ w["K"], y @ w["V"]
-    s = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(d)) + w["near"][np.clip(near, 0, None)]
-    seen = np.repeat((near >= 0)[None], b, axis=0)
-    seen[:, :, :BLOCK] &= led[:, None, None]
-    p, slope = _shares(s, seen)
-    h = x + p @ v
-    pre = h @ w["W1"] + w["b1"]
-    r = np.maximum(pre, 0)
-    z = (h + r @ w["W2"]).reshape(-1, d)
-    group, member, use = target.ravel() // MEMBERS, target.ravel() % MEMBERS, counted.ravel()
-    n, at = max(1, int(use.sum())), np.arange(b * BLOCK)
-    weight = (use / n).astype(z.dtype)
-    pg, steep = _shares(z @ w["G"] + w["g"])
-    dg = pg * weight[:, None]
-    dg[at, group] -= weight
-    dg *= steep
-    dz = dg @ w["G"].T
-    grad = {"G": z.T @ dg, "g": dg.sum(0), "M": np.zeros_like(w["M"]), "m": np.zeros_like(w["m"])}
-    loss = -np.log(pg[at, group])[use].sum() / n
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    x = w["E"].take(own.ravel(), axis=0)
+    h, held = np.empty_like(x), []
+    for lo in range(0, b, CACHED):
+        hi = min(lo + CACHED, b)
+        q, kv = of_query.take(own[lo:hi], axis=0), of_key.take(keys[lo:hi], axis=0)
+        u = np.matmul(q, kv[..., :d].transpose(0, 2, 1))
+        u += bias
+        np.maximum(u, LEAST, out=u)
+        p = _squared(u)
+        p *= seen
+        p[np.flatnonzero(~led[lo:hi]), :, :BLOCK] = 0
+        p /= (p.reshape(-1, 2 * BLOCK) @ ones[: 2 * BLOCK]).reshape(-1, BLOCK, 1)
+        h[lo * BLOCK : hi * BLOCK] = np.matmul(p, kv[..., d:]).reshape(-1, d)
+        held.append((lo, hi, q, kv, u, p))
+    h += x
+    r = h @ w["W1"]
+    r += w["b1"]
+    np.maximum(r, 0, out=r)
+    z = r @ w["W2"]
+    z += h
+    loss, dz, grad = _output_gradients(w, z, target.ravel(), counted.ravel())
+    dr = dz @ w["W2"].T
+    dr *= r > 0
+    grad["W2"], grad["W1"], grad["b1"] = r.T @ dz, h.T @ dr, dr.sum(0)
+    dh = dr @ w["W1"].T
+    dh += dz
+    dq, dkv, by_near = np.empty_like(x), np.empty((b, 2 * BLOCK, 2 * d), kind), 0.0
+    for lo, hi, q, kv, u, p in held:
+        at, of = slice(lo * BLOCK, hi * BLOCK), dh[lo * BLOCK : hi * BLOCK].reshape(-1, BLOCK, d)
+        ds = np.matmul(of, kv[..., d:].transpose(0, 2, 1))
+        dkv[lo:hi, :, d:] = np.matmul(p.transpose(0, 2, 1), of)
+        ds -= ((ds * p).reshape(-1, 2 * BLOCK) @ ones[: 2 * BLOCK]).reshape(-1, BLOCK, 1)
+        ds *= p
+        ds /= u
+        by_near = by_near + ones[: hi - lo] @ ds.reshape(hi - lo, -1)
+        dq[at] = np.matmul(ds, kv[..., :d]).reshape(-1, d)
+        dkv[lo:hi, :, :d] = np.matmul(ds.transpose(0, 2, 1), q)
+    dq /= root
+    dkv[..., :d] *= POWER  # q was divided by it, and by the root
+    grad["near"] = np.bincount(np.clip(near, 0, None).ravel(), weights=np.where(near.ravel() >= 0, by_near, 0), minlength=2 * BLOCK).astype(kind)
+    dkv, y = dkv.reshape(-1, 2 * d), w["E"].take(keys.ravel(), axis=0)
+    of_both = y.T @ dkv
+    grad["Q"], grad["K"], grad["V"] = x.T @ dq, of_both[:, :d], of_both[:, d:]
+    dh += dq @ w["Q"].T
+    dy = dkv @ np.concatenate([w["K"], w["V"]], axis=1).T
+    dy.reshape(b, 2 * BLOCK, d)[:, BLOCK:] += dh.reshape(b, BLOCK, d)  # the second block's keys are the queries' own ids
+    grad["E"] = _summed(keys.ravel(), dy, len(w["E"]))
+    return loss, grad
+
+
+def _summed(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the rows of each id below n."""
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.diff(ids, prepend=-1))
+    found = np.zeros((n, rows.shape[1]), rows.dtype)
+    found[ids[first]] = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+    return found
+
+
+def _output_gradients(w: dict[str, np.ndarray], z: np.ndarray, target: np.ndarray, use: np.ndarray) -> tuple[float, np.ndarray, dict[str, np.ndarray]]:
+    """Mean loss of the counted targets, its gradient by z, and by G, g, M and m; a target's group and its place there are drawn in one go."""
+    kind, d = z.dtype, WIDTH
+    n = max(1, int(use.sum()))
+    order = np.argsort((target // MEMBERS).astype(np.int16), kind="stable")
+    order = order[use[order]]
+    group, member = target[order] // MEMBERS, target[order] % MEMBERS
+    held = np.ones((len(order), d + 1), kind)  # the last is for the biases
+    held[:, :d] = z.take(order, axis=0)
+    back, loss = np.empty((len(order), d), kind), 0.0
+    outputs = np.empty((GROUPS, d + 1, GROUPS + MEMBERS), kind)
+    outputs[:, :d, :GROUPS], outputs[:, d, :GROUPS], outputs[:, :d, GROUPS:], outputs[:, d, GROUPS:] = w["G"], w["g"], w["M"], w["m"]
+    outputs /= POWER
+    outputs[:, d] += 1
+    total, sums, places = np.zeros_like(outputs), np.ones(MEMBERS, kind), np.arange(0, CACHED_ROWS * (GROUPS + MEMBERS), GROUPS + MEMBERS)
+    cuts = np.searchsorted(group, np.arange(GROUPS + 1))
     for i in np.flatnonzero(np.diff(cuts)):
-        rows = order[cuts[i] : cuts[i + 1]]
-        of = np.arange(len(rows))
-        dm, steep = _shares(z[rows] @ w["M"][i] + w["m"][i])
-        loss -= np.log(dm[of, member[rows]])[use[rows]].sum() / n
-        dm[of, member[rows]] -= 1
-        dm *= weight[rows][:, None] * steep
-        grad["M"][i], grad["m"][i] = z[rows].T @ dm, dm.sum(0)
-        dz[rows] += dm @ w["M"][i].T
-    dz = dz.reshape(b, BLOCK, d)
-    dr = (dz @ w["W2"].T) * (pre > 0)
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    grad["W2"], grad["W1"], grad["b1"] = flat(r).T @ flat(dz), flat(h).T @ flat(dr), flat(dr).sum(0)
-    dh = dz + dr @ w["W1"].T
-    dp, dv = dh @ v.transpose(0, 2, 1), p.transpose(0, 2, 1) @ dh
-    ds = p * (dp - (dp * p).sum(-1, keepdims=True)) * slope
-    grad["near"] = np.bincount(np.clip(near, 0, None).ravel(), weights=np.where(near >= 0, ds.sum(0), 0).ravel(), minlength=2 * BLOCK).astype(np.float32)
-    ds = ds / np.float32(np.sqrt(d))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    grad["Q"], grad["K"], grad["V"] = flat(x).T @ flat(dq), flat(y).T @ flat(dk), flat(y).T @ flat(dv)
-    dx, dy = dh + dq @ w["Q"].T, dk @ w["K"].T + dv @ w["V"].T
-    rows = np.concatenate([own.ravel(), keys.ravel()])[:, None] * d + np.arange(d)
-    grad["E"] = np.bincount(rows.ravel(), weights=np.concatenate([dx.ravel(), dy.ravel()]), minlength=w["E"].size).reshape(w["E"].shape).astype(w["E"].dtype)
-    return float(loss), grad
+        both = outputs[i]
+        for lo in range(cuts[i], cuts[i + 1], CACHED_ROWS):
+            hi = min(lo + CACHED_ROWS, cuts[i + 1])
+            u = held[lo:hi] @ both
+            np.maximum(u, LEAST, out=u)
+            p = _squared(u)
+            shares, flat, theirs = p.reshape(-1, MEMBERS), p.ravel(), places[: hi - lo] + (GROUPS + member[lo:hi])
+            shares /= (shares @ sums)[:, None]
+            loss -= float(np.log(p[:, i] * flat[theirs]).sum())
+            p[:, i] -= 1
+            flat[theirs] -= 1
+            p /= u
+            np.matmul(p, both[:d].T, out=back[lo:hi])
+            total[i] += held[lo:hi].T @ p
+    total /= n
+    dz = np.zeros_like(z)
+    dz[order] = back * kind.type(POWER / n)
+    shared = total[:, :, :GROUPS].sum(0)
+    return loss / n, dz, {"G": shared[:d], "g": shared[d], "M": total[:, :d, GROUPS:], "m": total[:, d, GROUPS:]}
 
 
 def descended(w: dict[str, np.ndarray], texts: list[np.ndarray], rng: np.random.Generator, steps: int, batch: int, rate: float, once: bool = False) -> None:
@@ -201,7 +259,7 @@ def trained(sample: list[np.ndarray], n_ids: int, end: int, steps: int = 700, ba
     return Model(w, known, rare)
 
 
-def refined(w: dict[str, np.ndarray], texts: list[np.ndarray], batch: int = 256, rate: float = 0.004) -> tuple[dict[str, np.ndarray], int]:
+def refined(w: dict[str, np.ndarray], texts: list[np.ndarray], batch: int = 512, rate: float = 0.008) -> tuple[dict[str, np.ndarray], int]:
     """Copy of w after one pass over texts given as model ids, and the number of blocks they have."""
     w = {k: v.copy() for k, v in w.items()}
     blocks = sum(-(-(len(x) - 1) // BLOCK) for x in texts)

@@ -129,6 +129,26 @@ def test_attention_gradient():
         assert grad[k][at] == pytest.approx((up - down) / (2 * e), rel=2e-3, abs=1e-7)
 
 
+def test_gradient_is_the_same_in_any_slices_and_a_pass_takes_few_steps(monkeypatch):
+    rng = np.random.default_rng(2)
+    w = attention.initial(rng)
+    b = [rng.integers(0, 90, (7, attention.BLOCK)) for _ in range(3)]
+    b = (b[0], b[1], rng.random(7) < 0.7, b[2], rng.random((7, attention.BLOCK)) < 0.8)
+    loss, whole = attention.gradients(w, *b)
+    monkeypatch.setattr(attention, "CACHED", 2)
+    monkeypatch.setattr(attention, "CACHED_ROWS", 5)
+    sliced, parts = attention.gradients(w, *b)
+    assert sliced == pytest.approx(loss, rel=1e-5) and set(parts) == set(w)
+    assert all(np.allclose(parts[k], whole[k], rtol=1e-3, atol=1e-6) for k in w)
+    nothing, none = attention.gradients(w, *b[:4], np.zeros_like(b[4]))
+    assert nothing == 0 and not any(g.any() for g in none.values())
+    monkeypatch.undo()
+    steps, real = [], attention.gradients
+    monkeypatch.setattr(attention, "gradients", lambda *args: steps.append(len(args[2])) or real(*args))
+    _, blocks = attention.refined(w, [rng.integers(0, 90, 16 * 1_000 + 1)])
+    assert blocks == 1_000 and steps == [512, 488]
+
+
 def features(text):
     words = WORD.findall(text)
     n = len(words)
