@@ -89,11 +89,39 @@ def tokenised(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = CAP
     return id_text(docs).mapInPandas(tidy(encode), "doc_id long, piece int, start long, length long, ids binary")
 
 
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit for counts by length, longest first, many equal bins at a time: sequence kinds and how many of each; a kind may come twice."""
+    open_bins: dict[int, list[list]] = defaultdict(list)  # gap -> [kind, copies]
+    for length in range(capacity, 0, -1):
+        n = int(counts[length])
+        while n:
+            gap = next((g for g in sorted(open_bins) if g >= length and open_bins[g]), None)
+            if gap is None:
+                per = capacity // length
+                full, rest = divmod(n, per)
+                if full:
+                    open_bins[capacity - per * length].append([(length,) * per, full])
+                if rest:
+                    open_bins[capacity - rest * length].append([(length,) * rest, 1])
+                n = 0
+            else:
+                kind, copies = open_bins[gap].pop()
+                k = min(copies, n)
+                if copies > k:
+                    open_bins[gap].append([kind, copies - k])
+                open_bins[gap - length].append([(*kind, length), k])
+                n -= k
+            if gap is not None and not open_bins[gap]:
+                del open_bins[gap]
+    return [(kind, copies) for bins in open_bins.values() for kind, copies in bins]
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Sequence kinds (lengths in place order) with how many sequences of each kind; uses every counted piece exactly once."""
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
+    every = left.copy()
     kinds: dict[tuple[int, ...], int] = defaultdict(int)
 
     def take(*lengths: int) -> int:
@@ -140,32 +168,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
             left[big] += 1
             if found is None or not take(big, *found):
                 break
-    # Best-fit for the rest, longest first, many equal bins at a time.
-    open_bins: dict[int, list[list]] = defaultdict(list)  # gap -> [kind, copies]
-    for length in range(capacity, 0, -1):
-        n = int(left[length])
-        while n:
-            gap = next((g for g in sorted(open_bins) if g >= length and open_bins[g]), None)
-            if gap is None:
-                per = capacity // length
-                full, rest = divmod(n, per)
-                if full:
-                    open_bins[capacity - per * length].append([(length,) * per, full])
-                if rest:
-                    open_bins[capacity - rest * length].append([(length,) * rest, 1])
-                n = 0
-            else:
-                kind, copies = open_bins[gap].pop()
-                k = min(copies, n)
-                if copies > k:
-                    open_bins[gap].append([kind, copies - k])
-                open_bins[gap - length].append([(*kind, length), k])
-                n -= k
-            if gap is not None and not open_bins[gap]:
-                del open_bins[gap]
-    for bins in open_bins.values():
-        for kind, copies in bins:
-            kinds[kind] += copies
+    for kind, copies in best_fit(left, capacity):
+        kinds[kind] += copies
+    # Exact combinations may use up the short pieces that long ones need.
+    plain: dict[tuple[int, ...], int] = defaultdict(int)
+    for kind, copies in best_fit(every, capacity):
+        plain[kind] += copies
+    kinds = min(kinds, plain, key=lambda found: sum(found.values()))
     return sorted(kinds.items(), reverse=True)
 
 

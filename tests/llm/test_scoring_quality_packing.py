@@ -254,6 +254,12 @@ def test_plan_uses_every_piece_once_and_packs_tightly(counts):
     assert sum(c for _, c in kinds) <= 1.1 * len(open_bins) + 1
 
 
+def test_plan_leaves_short_pieces_to_long_ones():
+    kinds = packing.plan({5: 3, 9: 9, 19: 11}, 32)
+    assert sum(c for _, c in kinds) == 11  # one for each of length 19
+    assert sum((Counter({x: c * n for x, n in Counter(kind).items()}) for kind, c in kinds), Counter()) == Counter({5: 3, 9: 9, 19: 11})
+
+
 def test_plan_fills_gaps_exactly():
     assert dict(packing.plan({20: 3, 12: 3}, 32)) == {(20, 12): 3}
     assert dict(packing.plan({20: 2, 7: 2, 5: 2}, 32)) == {(20, 7, 5): 2}
