@@ -149,6 +149,17 @@ def test_gradient_is_the_same_in_any_slices_and_a_pass_takes_few_steps(monkeypat
     assert blocks == 1_000 and steps == [512, 488]
 
 
+def test_sums_by_id_and_lower_bounds_equal_plain_ones():
+    rng = np.random.default_rng(5)
+    ids, parts = rng.integers(0, 50, 7 * 12), rng.random((7, 3, 12))
+    want = np.zeros((60, 3))
+    np.add.at(want, ids, parts.transpose(0, 2, 1).reshape(-1, 3))
+    assert np.allclose(attention._summed(ids, parts, 60), want)
+    for n in (0, 1, 1 << 14, (1 << 14) + 3):
+        u = rng.normal(size=(n, 2)).astype(np.float32)
+        assert (attention._at_least(u.copy(), 0.05) == np.maximum(u, np.float32(0.05))).all()
+
+
 def features(text):
     words = WORD.findall(text)
     n = len(words)
