@@ -79,15 +79,24 @@ def chunked(docs: DataFrame, chunks: tuple[tuple[int, int], ...] = CHUNKS) -> Da
 
 def drawn(digest: int, n_words: int, share: float) -> list[int]:
     """Places of the pieces drawn from a text."""
-    at = np.arange(max(1, -(-n_words // PIECE_WORDS)))
-    return (at[mix64(at.astype(np.uint64) + np.uint64(digest)) < np.uint64(min(share * 2**64, 2**64 - 1025))] * PIECE_WORDS).tolist()
+    return all_drawn(np.asarray([digest % 2**64], np.uint64), np.asarray([n_words]), share)[1].tolist()
+
+
+def all_drawn(digests: np.ndarray, n_words: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """The text and the place of each piece drawn from texts."""
+    n = np.maximum(1, -(-n_words // PIECE_WORDS))
+    text = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+    pick = np.flatnonzero(mix64(at.astype(np.uint64) + digests[text]) < np.uint64(min(share * 2**64, 2**64 - 1025)))
+    return text[pick], at[pick] * PIECE_WORDS
 
 
 def packed(numbers: np.ndarray) -> bytes:
     """Numbers below 2**32, compressed; their bytes are parted by weight, since most numbers are small."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    held = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.ascontiguousarray(held[:, k]) for k in range(4)]))
 
 
 def unpacked(raw: bytes) -> np.ndarray:
@@ -132,13 +141,15 @@ class Chunk:
         start = np.cumsum(length) - length
         np.add.at(met, ids, np.repeat(n, length))
         ids_of = lambda a, b: [ids[start[w] : start[w] + length[w]] for w in place[a:b]]
-        end, pieces, hi = np.asarray([END]), [], 0
-        for size, held_out in zip(sizes.tolist(), self.held_out):
-            lo, hi = hi, hi + size
-            for a in () if held_out else drawn(int(hashes[lo:hi].sum()) if size else 0, size, share):
-                b = min(a + PIECE_WORDS, size)
-                before = ids_of(lo + a - 1, lo + a)[0][-1:] if a else end
-                pieces.append(np.concatenate([before, *ids_of(lo + a, lo + b), *([end] if b == size else [])]).astype("<u4").tobytes())
+        end, pieces = np.asarray([END]), []
+        upto, summed = np.cumsum(np.append(0, sizes)), np.append(np.uint64(0), np.cumsum(hashes))
+        lo, hi = upto[:-1], upto[1:]
+        texts = np.flatnonzero(~np.asarray(self.held_out))
+        for k, a in zip(*(x.tolist() for x in all_drawn((summed[hi] - summed[lo])[texts], sizes[texts], share))):
+            first_word, size = int(lo[texts[k]]), int(sizes[texts[k]])
+            b = min(a + PIECE_WORDS, size)
+            before = ids_of(first_word + a - 1, first_word + a)[0][-1:] if a else end
+            pieces.append(np.concatenate([before, *ids_of(first_word + a, first_word + b), *([end] if b == size else [])]).astype("<u4").tobytes())
         yield _rows(kind=WORD, chunk=self.number, word=word.view(np.int64), k=np.arange(len(word)), n=n)
         if pieces:
             yield _rows(kind=PIECE, ids=pieces)
@@ -287,11 +298,11 @@ class Scorer:
         starts = np.cumsum(per_text + 2) - (per_text + 2)
         out = np.full(int((per_text + 2).sum()), model.known[END], np.int32)
         before = np.cumsum(n) - n
-        within = np.arange(int(n.sum()))
-        to = np.repeat(2 * text + 1, n) + within
-        out[to] = ids[np.repeat(start[place] - before, n) + within]
+        inner = np.ones(len(out), bool)
+        inner[starts] = inner[starts + per_text + 1] = False
+        out[inner] = ids.take(np.repeat(start[place] - before, n) + np.arange(int(n.sum())))
         found = attention.token_scores(model, self.tables, out, starts, per_text + 1)
-        of_word = np.add.reduceat(found[to].astype(np.float64), before) if len(before) else np.zeros(0)
+        of_word = np.add.reduceat(found[inner].astype(np.float64), before) if len(before) else np.zeros(0)
         if len(length):
             of_word += np.add.reduceat(np.where(ids == attention.RARE, model.rare[raw], 0.0), start)[place]
         return of_word, found[starts + per_text + 1].astype(np.float64) + (model.rare[END] if model.known[END] == attention.RARE else 0.0)

@@ -61,6 +61,17 @@ def test_lm_draws_pieces_from_anywhere():
     assert lm.drawn(7, 9_600, 1.0) == list(range(0, 9_600, 96)) and lm.drawn(7, 0, 1.0) == [0]
 
 
+def test_pieces_of_many_texts_are_drawn_as_of_each():
+    rng = np.random.default_rng(6)
+    digests, sizes = rng.integers(0, 2**64, 50, dtype=np.uint64), np.append(rng.integers(1, 3_000, 48), [0, 96])
+    for share in (1 / 8, 1.0):
+        text, place = lm.all_drawn(digests, sizes, share)
+        assert list(zip(text.tolist(), place.tolist())) == [(k, p) for k in range(50) for p in lm.drawn(int(digests[k]), int(sizes[k]), share)]
+    assert [len(x) for x in lm.all_drawn(digests[:0], sizes[:0], 1.0)] == [0, 0]
+    for numbers in (sizes, sizes[:0], np.asarray([2**32 - 1, 0])):
+        assert lm.unpacked(lm.packed(numbers)).tolist() == numbers.tolist()
+
+
 
 def test_the_model_learns_from_texts_of_which_no_piece_was_drawn(spark):
     frame = spark.createDataFrame([(i, f"the same few words again and again {i % 7} " * 20) for i in range(60)], "doc_id long, text string")
